@@ -292,7 +292,8 @@ FROM (SELECT DISTINCT icao, dep_scheduled_utc FROM (SELECT dep_icao AS icao, dep
 JOIN notices n ON n.loc = f.icao AND {ACTIVE} GROUP BY 1, 2
 """)
 def notam_interval_join(spark, sf):
-    features = gold.notice_features(silver_flights(spark, sf), silver_notams(spark, sf), OPTIONS)
+    points = gold.notice_points(silver_flights(spark, sf))
+    features = gold.notice_features(points, silver_notams(spark, sf), OPTIONS)
     return features.select("icao", "at", "notices", "max_hours")
 
 
@@ -307,12 +308,11 @@ FROM flights f LEFT JOIN (SELECT f.event_id, {NOTICE_AGG} FROM flights f
 """)
 def notam_flags_agg(spark, sf):
     flights = silver_flights(spark, sf)
-    features = gold.notice_features(flights, silver_notams(spark, sf), OPTIONS)
     keyed = flights.select("event_id", "dep_icao", "dep_scheduled_utc")
-    side = gold._side_of(features, "dep")
-    return attach(keyed, side, ["dep_icao", "dep_scheduled_utc"], "_weight", ["event_id"]).drop(
-        "dep_icao", "dep_scheduled_utc"
+    out = gold.add_notices(
+        keyed, flights, silver_notams(spark, sf), OPTIONS, ["event_id"], sides=("dep",)
     )
+    return out.drop("dep_icao", "dep_scheduled_utc")
 
 
 NOTICE_SIDES = f"""
@@ -352,12 +352,8 @@ NOTICE_NAMES = [
        f"WITH {NOTICE_SIDES} SELECT event_id, {NOTICE_COLUMNS} FROM masked")
 def notam_coverage_mask(spark, sf):
     flights = silver_flights(spark, sf)
-    features = gold.notice_features(flights, silver_notams(spark, sf), OPTIONS)
-    out = flights.select("event_id", "dep_iata", "arr_iata", "dep_icao", "arr_icao", "dep_scheduled_utc")
-    for side in ("dep", "arr"):
-        out = attach(
-            out, gold._side_of(features, side), [f"{side}_icao", "dep_scheduled_utc"], "_weight", ["event_id"]
-        )
+    keyed = flights.select("event_id", "dep_iata", "arr_iata", "dep_icao", "arr_icao", "dep_scheduled_utc")
+    out = gold.add_notices(keyed, flights, silver_notams(spark, sf), OPTIONS, ["event_id"])
     return gold.notice_columns(out, OPTIONS).select("event_id", *NOTICE_NAMES)
 
 

@@ -1,52 +1,63 @@
 """Which validity intervals hold at a point in time, without pairing all rows.
 
-An interval is cut into aligned blocks of whole days, hours, minutes and seconds.
-Blocks are summed per (place, block) before they meet any point, and a point looks
-up the one day, hour, minute and second it lies in. Only the two seconds in which
-an interval begins and ends are compared by their exact times.
+An interval is cut into aligned blocks of four lengths, from one second up. Blocks
+are summed per (place, block) before they meet any point, and a point looks up the
+one block of each length it lies in. Only the two seconds in which an interval
+begins and ends are compared by their exact times.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Block lengths in seconds, shortest first.
-TIERS = [1, 60, 3600, 86400]
+# Blocks of 2**0, 2**6, 2**12 and 2**18 seconds (1 s, 64 s, 68 min, 3 days).
+TIERS = [0, 6, 12, 18]
+STEP = 6
 MICROS = 1_000_000
 
 
-def _floor_div(value: Column, by: int) -> Column:
-    return ((value - F.pmod(value, F.lit(by).cast("long"))) / F.lit(by)).cast("long")
+def _second(micros: Column) -> Column:
+    """Whole second that holds a time in microseconds."""
+    return ((micros - F.pmod(micros, F.lit(MICROS).cast("long"))) / F.lit(MICROS)).cast("long")
 
 
-def _ceil_div(value: Column, by: int) -> Column:
-    return _floor_div(value + F.lit(by - 1), by)
+def _span(start: Column, stop: Column, tier: int) -> Column:
+    """The blocks [start, stop) of one tier, NULL when there are none."""
+    return F.when(
+        start < stop,
+        F.struct(F.lit(tier).alias("tier"), start.alias("start"), (stop - 1).alias("last")),
+    )
 
 
-def _blocks(low: Column, high: Column) -> Column:
-    """Array of (tier, block) that exactly covers the whole seconds [low, high)."""
-    pieces = []
-    for i, size in enumerate(TIERS):
-        def span(start: Column, stop: Column, tier: int = size) -> Column:
-            numbers = F.when(start < stop, F.sequence(start, stop - 1)).otherwise(
-                F.array().cast("array<bigint>")
-            )
-            return F.transform(
-                numbers, lambda b: F.struct(F.lit(tier).alias("tier"), b.alias("block"))
-            )
+def _with_blocks(df: DataFrame, low: str, high: str) -> DataFrame:
+    """One row per block of the exact cover of the whole seconds [low, high).
 
+    Each tier takes what does not fill a block of the next one at either end. The
+    bounds are columns of their own, so the expressions stay small.
+    """
+    out = df.withColumnsRenamed({low: "_lo0", high: "_hi0"})
+    pieces = []
+    for i, tier in enumerate(TIERS):
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         if i + 1 == len(TIERS):
-            pieces.append(span(low, high))
+            pieces.append(_span(lo, hi, tier))
             break
-        step = TIERS[i + 1] // size
-        inner_low, inner_high = _ceil_div(low, step), _floor_div(high, step)
-        wide = inner_low < inner_high
-        left_stop = F.when(wide, inner_low * step).otherwise(high)
-        right_start = F.when(wide, inner_high * step).otherwise(high)
-        pieces += [span(low, left_stop), span(right_start, high)]
-        # Nothing is left for longer blocks when no whole one fits.
-        low, high = inner_low, F.greatest(inner_high, inner_low)
-    return F.concat(*pieces)
+        # Bounds in blocks of the next tier; nothing is left when no whole one fits.
+        next_lo = F.shiftright(lo + (1 << STEP) - 1, STEP)
+        out = out.withColumn(f"_lo{i + 1}", next_lo)
+        up = F.col(f"_lo{i + 1}")
+        out = out.withColumn(f"_hi{i + 1}", F.greatest(F.shiftright(hi, STEP), up))
+        down = F.col(f"_hi{i + 1}")
+        wide = up < down
+        pieces += [
+            _span(lo, F.when(wide, F.shiftleft(up, STEP)).otherwise(hi), tier),
+            _span(F.when(wide, F.shiftleft(down, STEP)).otherwise(hi), hi, tier),
+        ]
+    bounds = [c for c in out.columns if c.startswith(("_lo", "_hi"))]
+    spans = out.withColumn("_span", F.explode(F.array_compact(F.array(*pieces)))).drop(*bounds)
+    return spans.select(
+        "*", F.col("_span.tier").alias("tier"), F.explode(F.sequence("_span.start", "_span.last")).alias("block")
+    ).drop("_span")
 
 
 def stab(
@@ -69,33 +80,40 @@ def stab(
     measures = [*sums, *maxima]
     distinct = intervals.where(F.col(start) <= F.col(end)).groupBy(place, start, end).agg(*merge)
 
-    low = _ceil_div(F.col(start), MICROS)
-    high = _floor_div(F.col(end) + 1, MICROS)
+    # Whole seconds [low, high) inside the interval, and the seconds of its two ends.
+    cut = distinct.withColumns(
+        {
+            "_low": _second(F.col(start) + MICROS - 1),
+            "_first": _second(F.col(start)),
+            "_last": _second(F.col(end)),
+            "_high": _second(F.col(end) + 1),
+        }
+    ).withColumn("_high", F.greatest("_low", "_high"))
     covered = (
-        distinct.select(place, *measures, F.explode(_blocks(low, F.greatest(low, high))).alias("_b"))
-        .select(place, F.col("_b.tier").alias("tier"), F.col("_b.block").alias("block"), *measures)
+        _with_blocks(cut.select(place, *measures, "_low", "_high"), "_low", "_high")
         .groupBy(place, "tier", "block")
         .agg(*merge)
     )
-    # Seconds that an interval covers only in part.
-    first_second, last_second = _floor_div(F.col(start), MICROS), _floor_div(F.col(end), MICROS)
-    cut = F.array_compact(
-        F.array(
-            F.when(first_second < low, first_second),
-            F.when((last_second >= high) & ((last_second != first_second) | (first_second >= low)), last_second),
-        )
+    partly = F.array(
+        F.when(F.col("_first") < F.col("_low"), F.col("_first")),
+        F.when(
+            (F.col("_last") >= F.col("_high"))
+            & ((F.col("_last") != F.col("_first")) | (F.col("_first") >= F.col("_low"))),
+            F.col("_last"),
+        ),
+    )
+    edges = cut.select(
+        place, start, end, *measures, F.explode(F.array_compact(partly)).alias("block")
     )
-    edges = distinct.select(place, start, end, *measures, F.explode(cut).alias("block"))
 
-    second = _floor_div(F.col(at), MICROS)
+    second = _second(F.col(at))
     tiers = F.array(
-        *[
-            F.struct(F.lit(size).alias("tier"), _floor_div(second, size).alias("block"))
-            for size in TIERS
-        ]
+        *[F.struct(F.lit(t).alias("tier"), F.shiftright("_s", t).alias("block")) for t in TIERS]
     )
-    looking = points.select(place, at, F.explode(tiers).alias("_b")).select(
-        place, at, F.col("_b.tier").alias("tier"), F.col("_b.block").alias("block")
+    looking = (
+        points.select(place, at, second.alias("_s"))
+        .select(place, at, F.explode(tiers).alias("_b"))
+        .select(place, at, F.col("_b.tier").alias("tier"), F.col("_b.block").alias("block"))
     )
     whole = looking.join(covered, [place, "tier", "block"]).select(place, at, *measures)
     partial = (

@@ -19,6 +19,12 @@ def key_day_totals(flights: DataFrame, keys: list[str], ts: str, delay: str) ->
     )
 
 
+def rolled_up(totals: DataFrame, keys: list[str]) -> DataFrame:
+    """Totals of finer keys summed to fewer keys."""
+    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "minutes", "late")]
+    return totals.groupBy(*keys, "day_no").agg(*sums)
+
+
 def trailing_stats(
     flights: DataFrame,
     keys: list[str],
@@ -36,7 +42,13 @@ def trailing_stats(
     """
     if not keep_null_keys:
         flights = flights.dropna(subset=keys)
-    totals = key_day_totals(flights, keys, ts, delay)
+    return from_totals(key_day_totals(flights, keys, ts, delay), keys, prefix, windows)
+
+
+def from_totals(
+    totals: DataFrame, keys: list[str], prefix: str, windows: tuple[int, ...] = (7, 30)
+) -> DataFrame:
+    """The windows over ready totals per key and day."""
     order = Window.partitionBy(*keys).orderBy("day_no")
     out = [*keys, "day_no", "n"]
     for days in windows:

@@ -12,12 +12,13 @@ from slotwise.functions.rules import TEXT_FLAGS, text_flag
 from slotwise.functions.times import day_number, duration_hours, hour_bucket, is_weekend, season
 from slotwise.operators.attach import attach
 from slotwise.operators.intervals import stab
-from slotwise.operators.trailing import trailing_stats
+from slotwise.operators.trailing import from_totals, key_day_totals, rolled_up
 from slotwise.operators.upsert import rewrite_partitions
 from slotwise.schemas import (
     DELAY_THRESHOLD_MINUTES, FLIGHT_KEY, GOLD_KEY, GOLD_REGISTRY, MONITORED_AIRPORTS,
 )
 from slotwise.sources.incremental import overlapping, rows_between
+from slotwise.session import persist_table
 
 # Airport column -> suffix of its dep_/arr_ copies (fixed values).
 AIRPORT_ROLES = {
@@ -124,22 +125,46 @@ def notice_measures(notams: DataFrame, options: GoldOptions) -> DataFrame:
     )
 
 
-def notice_features(cells: DataFrame, notams: DataFrame, options: GoldOptions) -> DataFrame:
-    """Active notices per distinct (place, departure time) of either side.
-
-    Arrival places are looked up at departure time too. ``weight`` counts the
-    cells that ask for a point, for the join back.
-    """
+def notice_points(cells: DataFrame) -> DataFrame:
+    """Distinct (place, departure time) of either side; ``weight`` counts the rows
+    that ask for it. Arrival places are looked up at departure time too."""
     asked = cells.select(
         F.explode(F.array("dep_icao", "arr_icao")).alias("icao"),
         F.unix_micros("dep_scheduled_utc").alias("at"),
     )
-    points = asked.dropna().groupBy("icao", "at").agg(F.count(F.lit(1)).alias("weight"))
-    active = stab(
+    return asked.dropna().groupBy("icao", "at").agg(F.count(F.lit(1)).alias("weight"))
+
+
+def notice_features(points: DataFrame, notams: DataFrame, options: GoldOptions) -> DataFrame:
+    """Active notices per point; points without any are absent."""
+    return stab(
         points, notice_measures(notams, options), "icao", "at", "a", "b",
         ["notices", *TEXT_FLAGS], ["max_hours"],
     )
-    return active.join(points, ["icao", "at"])
+
+
+def add_notices(
+    df: DataFrame,
+    cells: DataFrame,
+    notams: DataFrame,
+    options: GoldOptions,
+    spread_by: list[str],
+    sides: tuple[str, ...] = ("dep", "arr"),
+) -> DataFrame:
+    """Join the notice features of both sides to ``df``, whose keys are in ``cells``."""
+    points = persist_table(notice_points(cells), "notice-points")
+    features = persist_table(
+        notice_features(points, notams, options).join(points, ["icao", "at"]), "notice-features"
+    )
+    for side in sides:
+        keys = [f"{side}_icao", "dep_scheduled_utc"]
+        weights = points.select(
+            F.col("icao").alias(keys[0]),
+            F.timestamp_micros("at").alias(keys[1]),
+            F.col("weight").alias("_weight"),
+        )
+        df = attach(df, _side_of(features, side), keys, "_weight", spread_by, weights=weights)
+    return df
 
 
 def _side_of(features: DataFrame, side: str) -> DataFrame:
@@ -190,37 +215,47 @@ def notice_columns(df: DataFrame, options: GoldOptions) -> DataFrame:
 CELL_KEYS = ["dep_iata", "arr_iata", "airline_iata", "dep_icao", "arr_icao", "dep_scheduled_utc"]
 
 
+def cell_counts(flights: DataFrame) -> DataFrame:
+    return flights.groupBy(*CELL_KEYS).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def cell_features(
-    flights: DataFrame, history: DataFrame, arrivals: DataFrame, notams: DataFrame, options: GoldOptions
+    cells: DataFrame, history: DataFrame, arrivals: DataFrame, notams: DataFrame, options: GoldOptions
 ) -> DataFrame:
-    """Everything that depends only on route, carrier and time, once per distinct
-    combination. These rows are narrow, so the lookups shuffle six columns and
-    the wide flight rows are shuffled only once, for the join back."""
-    cells = flights.groupBy(*CELL_KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    cells = cells.withColumns(
+    """Everything that depends only on route, carrier and time, once per row of
+    ``cells``. These rows are narrow, so the lookups shuffle six columns, and the
+    wide flight rows are shuffled only once, for the join back."""
+    spread = CELL_KEYS
+    out = cells.withColumns(
         {
             "day_no": day_number(F.col("dep_scheduled_utc")),
             "hour": hour_bucket(F.col("dep_scheduled_utc")),
         }
     )
-    ts, delay, spread = "dep_scheduled_utc", "dep_delay_min", CELL_KEYS
-
-    congestion = airport_hours(arrivals).withColumnRenamed("iata", "dep_iata")
-    congestion = congestion.withColumn("_w", F.col("flights_dep_same_hour"))
-    out = attach(cells, congestion, ["dep_iata", "hour"], "_w", spread, null_safe=True)
+    hours = airport_hours(arrivals).select(
+        F.col("iata").alias("dep_iata"), "hour", "flights_dep_same_hour", "flights_arr_same_hour",
+        F.col("flights_dep_same_hour").alias("_w"),
+    )
+    out = attach(out, hours, ["dep_iata", "hour"], "_w", spread, null_safe=True)
+
+    # One pass over the history; the three kinds of key are sums of its totals.
+    daily = persist_table(
+        key_day_totals(
+            history, ["dep_iata", "arr_iata", "airline_iata"], "dep_scheduled_utc", "dep_delay_min"
+        ),
+        "daily-totals",
+    )
     for keys, prefix, null_keys in (
         (["dep_iata", "arr_iata"], "route", True),
         (["airline_iata"], "airline", False),
         (["dep_iata"], "dep_airport", False),
     ):
-        stats = trailing_stats(history, keys, ts, delay, prefix, options.windows, null_keys)
-        out = attach(out, stats, [*keys, "day_no"], "n", spread, null_safe=null_keys)
-    features = notice_features(cells, notams, options)
-    for side in ("dep", "arr"):
+        totals = rolled_up(daily if null_keys else daily.dropna(subset=keys), keys)
+        stats = from_totals(totals, keys, prefix, options.windows)
         out = attach(
-            out, _side_of(features, side), [f"{side}_icao", "dep_scheduled_utc"], "_weight", spread
+            out, stats, [*keys, "day_no"], "n", spread, null_safe=null_keys, weights=totals
         )
-    return out.drop("day_no", "hour")
+    return add_notices(out, cells, notams, options, spread).drop("day_no", "hour")
 
 
 def build_features(
@@ -234,7 +269,9 @@ def build_features(
     """Gold rows for flights scheduled in [start, end).
 
     Statistics look back from the start of each flight's own day, so one call for
-    a month equals one call per day.
+    a month equals one call per day. Narrow intermediate tables (distinct cells,
+    daily totals, notice features) are written to the shared folder on the way, so
+    the flights are scanned four times, whatever the number of features.
     """
     ts = "dep_scheduled_utc"
     target = rows_between(flights, ts, F.lit(start), F.lit(end), ["flight_iata"])
@@ -250,11 +287,10 @@ def build_features(
         if options.open_ended
         else overlapping(notams, "start_utc", "end_utc", F.lit(start), F.lit(end))
     )
-    cells = cell_features(target, history, same_days, notices, options)
-    cells = add_route(enrich_airports(cells, airports))
-    cells = notice_columns(cells, options)
-    # One more shuffle would be needed per lookup on the wide rows; this is the only one.
-    full = attach(target.select(*[c for c in target.columns]), cells, CELL_KEYS, "_n", FLIGHT_KEY, null_safe=True)
+    counts = persist_table(cell_counts(target), "cells")
+    cells = cell_features(counts, history, same_days, notices, options)
+    cells = notice_columns(add_route(enrich_airports(cells, airports)), options)
+    full = attach(target, cells, CELL_KEYS, "_n", FLIGHT_KEY, null_safe=True, weights=counts)
     full = add_calendar(full).withColumns(
         {
             "is_delayed": F.col("dep_delay_min") > DELAY_THRESHOLD_MINUTES,

@@ -11,11 +11,12 @@ from slotwise.operators.categories import group_rare
 from slotwise.operators.ranks import nth_keys
 from slotwise.plans.cleaning import DROPPED_COLUMNS, derive, without_leakage
 from slotwise.plans.gold import (
-    CELL_KEYS, GoldOptions, add_calendar, add_route, cell_features, enrich_airports, notice_columns,
+    CELL_KEYS, GoldOptions, add_calendar, add_route, cell_counts, cell_features, enrich_airports, notice_columns,
 )
 from slotwise.plans.models import with_minutes, with_probability
 from slotwise.plans.silver import flatten_flights
-from slotwise.schemas import RARE_MIN_COUNTS
+from slotwise.schemas import FLIGHT_KEY, RARE_MIN_COUNTS
+from slotwise.session import persist_table
 
 # Values assumed when a scheduled trip has no history yet (fixed values).
 PRIORS = {
@@ -170,7 +171,8 @@ def timetable_features(
     raw = payloads.withColumns({c: F.lit(None).cast(t) for c, t in provenance.items()})
     trips = flatten_flights(raw, list(carry)).withColumn("dep_delay_min", F.lit(None).cast("int"))
     known = history.unionByName(trips.select(history.columns))
-    cells = cell_features(trips, known, known, notams, options)
+    counts_per_cell = persist_table(cell_counts(trips), "cells")
+    cells = cell_features(counts_per_cell, known, known, notams, options)
     cells = add_route(notice_columns(enrich_airports(cells, airports), options))
     cells = cells.withColumns(
         {
@@ -178,8 +180,8 @@ def timetable_features(
             for c, v in PRIORS.items()
         }
     )
-    full = attach(trips, cells, CELL_KEYS, "_n", ["flight_iata", "dep_scheduled_utc"], null_safe=True)
+    full = attach(trips, cells, CELL_KEYS, "_n", FLIGHT_KEY, null_safe=True, weights=counts_per_cell)
     full = derive(add_calendar(full))
-    grouped = group_rare(full, RARE_MIN_COUNTS, counts, ["flight_iata", "dep_scheduled_utc"])
+    grouped = group_rare(full, RARE_MIN_COUNTS, counts, FLIGHT_KEY)
     kept = without_leakage(grouped.drop(*[c for c in carry])).columns
     return grouped.select(*carry, *[c for c in kept if c not in DROPPED_COLUMNS])
