@@ -6,8 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from slotwise.catalog.registry import Registry
 from slotwise.catalog.views import (
-    MONITORED, oracle, plain, silver_airports, silver_flights, silver_notams, table, view,
+    MONITORED, plain, silver_airports, silver_flights, silver_notams, table, view,
 )
 from slotwise.functions import casts, geo, rules, times
 from slotwise.operators.attach import attach
@@ -18,17 +19,8 @@ from slotwise.session import new_work_dir
 OPTIONS = gold.GoldOptions(monitored=tuple(MONITORED))
 START, END = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, views: list[str] | None = None, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = lambda spark, sf: plain(fn(spark, sf))
-        if sql is not None:
-            ORACLES[name] = oracle(views, sql) if views else sql.strip()
-        return fn
-
-    return register
+REGISTRY = Registry()
+query = REGISTRY.query
 
 
 # ------------------------------------------------------------------- scalars

@@ -43,6 +43,32 @@ def group_rare(
     return out
 
 
+def grouped_profile(counts: DataFrame, min_counts: dict[str, int]) -> list[dict]:
+    """Column profile of the ``_grp`` columns, read off the category counts."""
+    minimum = F.lit(0)
+    for column, least in min_counts.items():
+        minimum = F.when(F.col("feature") == column, least).otherwise(minimum)
+    kept = F.when(F.col("n") >= minimum, F.col("value")).otherwise(F.lit(OTHER))
+    groups = counts.groupBy("feature", kept.alias("value")).agg(F.sum("n").alias("n"))
+    known = F.col("value").isNotNull()
+    facts = groups.groupBy("feature").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(known, 0).otherwise(F.col("n"))).alias("missing"),
+        F.count(F.lit(1)).alias("groups"),
+        F.max("n").alias("top"),
+    )
+    return [
+        {
+            "feature": f"{r['feature']}_grp",
+            "rows": r["rows"],
+            "missing": r["missing"],
+            "constant": r["groups"] <= 1,
+            "top_share": r["top"] / r["rows"],
+        }
+        for r in facts.where(F.col("feature").isin(list(min_counts))).collect()
+    ]
+
+
 def cardinality(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct values (NULL counts as one), missing share, most frequent value."""
     counts = category_counts(df, columns)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from slotwise.functions.casts import binary_target, bool_like, bool_word, number
 from slotwise.functions.geo import route_label
 from slotwise.functions.times import cyclic, utc_text
-from slotwise.operators.categories import category_counts, group_rare
+from slotwise.operators.categories import category_counts, group_rare, grouped_profile
 from slotwise.operators.constancy import NEAR_CONSTANT_SHARE, column_profile, droppable
 from slotwise.operators.ranks import quantile_from_counts
 from slotwise.schemas import (
@@ -123,7 +123,8 @@ class CleaningPlan:
 
     def project(self, derived: DataFrame) -> DataFrame:
         filled = fill_elevation(derived, self.elevation)
-        grouped = _grouped(filled, self.rare_columns, self.counts)
+        keys = [c for c in ("flight_iata", TIME_COLUMN) if c in filled.columns]
+        grouped = group_rare(filled, self.rare_columns, self.counts, keys)
         drops = {*DROPPED_COLUMNS, *self.constant, *self.near_constant}
         out = []
         for name, kind in grouped.dtypes:
@@ -146,11 +147,6 @@ def fill_elevation(df: DataFrame, medians: dict[str, float]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in medians.items()})
 
 
-def _grouped(derived: DataFrame, rare: dict[str, int], counts: DataFrame) -> DataFrame:
-    keys = [c for c in ("flight_iata", TIME_COLUMN) if c in derived.columns]
-    return group_rare(derived, rare, counts, keys)
-
-
 def fit_cleaning(
     gold: DataFrame,
     min_counts: dict[str, int] = RARE_MIN_COUNTS,
@@ -164,19 +160,20 @@ def fit_cleaning(
     rare = {c: n for c, n in min_counts.items() if c in derived.columns}
     counts = persist_table(category_counts(derived, list(rare)), "category-counts")
     elevation = column_medians(derived, [c for c in ELEVATIONS if c in derived.columns])
-    grouped = _grouped(fill_elevation(derived, elevation), rare, counts)
-    features = [c for c in grouped.columns if c not in {*PROTECTED, *DROPPED_COLUMNS}]
-    profile = column_profile(grouped, features)
+    filled = fill_elevation(derived, elevation)
+    features = [c for c in filled.columns if c not in {*PROTECTED, *DROPPED_COLUMNS}]
+    profile = column_profile(filled, features) + grouped_profile(counts, rare)
     if not profile or not profile[0]["rows"]:
         raise ValueError("no valid rows left after parsing targets and statuses")
     constant, near = droppable(profile, near_constant_share)
-    kinds = kinds_of(grouped)
+    kinds = kinds_of(filled)
     needs_median = [
         p["feature"]
         for p in profile
-        if p["missing"] and kinds[p["feature"]] in NUMERIC_TYPES and p["feature"] not in constant + near
+        if p["missing"] and kinds.get(p["feature"]) in NUMERIC_TYPES
+        and p["feature"] not in constant + near
     ]
-    medians = column_medians(grouped, needs_median)
+    medians = column_medians(filled, needs_median)
     return CleaningPlan(counts, rare, constant, near, elevation, medians, rolling_flags, profile)
 
 

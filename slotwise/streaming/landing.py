@@ -4,27 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from slotwise.sources.envelope import decode, split_decoded
 
-def arrival() -> Column:
-    """Position of a row in the input: later files, then later rows, win."""
-    return F.struct(
-        F.col("_metadata.file_modification_time").alias("modified"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-
-
 def landing_files(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Stream of JSON lines in ``folder``. A topic source delivers the same ``value``."""
+    """Stream of JSON lines in ``folder`` with the place each line came from.
+
+    A topic source delivers the same ``value``; its place is partition and offset.
+    """
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(folder).withColumn("arrival", arrival())
+    place = F.struct(
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    return reader.load(folder).select("value", place.alias("place"))
 
 
 def _write_batch(rows: DataFrame, table: str, batch_id: int) -> None:
@@ -48,7 +46,10 @@ def land(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_decoded(decode(batch, provenance))
+        # Later files win over earlier ones, later lines over earlier lines.
+        row = F.struct("place", F.monotonically_increasing_id().alias("row"))
+        placed = batch.select("value", row.alias("arrival"))
+        good, bad = split_decoded(decode(placed, provenance))
         _write_batch(good.withColumn("loaded_at", F.current_timestamp()), table, batch_id)
         _write_batch(bad, dead_letters, batch_id)
 
