@@ -26,12 +26,15 @@ query = REGISTRY.query
 
 
 # ------------------------------------------------------------------ payloads
-def flight_payloads(spark, sf):
-    """Flights as the feed delivers them: nested JSON plus provenance."""
+def flight_payloads(spark, sf, departure=None):
+    """Flights as the feed delivers them: nested JSON plus provenance. ``departure``
+    replaces the scheduled departure."""
     def text(ts):
         return f"date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
 
     flights = view(spark, sf, "flights")
+    if departure is not None:
+        flights = flights.withColumn("dep_scheduled_utc", departure)
     return flights.selectExpr(
         "event_id",
         f"""named_struct('status', status,
