@@ -30,9 +30,7 @@ SELECT o_orderkey, CASE WHEN o_orderdate < (SELECT c FROM c) THEN 'train' ELSE '
 """)
 def chrono_split(spark, sf):
     """Orders by date: many rows share a time, and those stay together."""
-    train, test, _ = splits.chronological_split(table(spark, sf, "orders"), "o_orderdate")
-    tag = lambda df, name: df.select("o_orderkey", F.lit(name).alias("split"))
-    return tag(train, "train").unionByName(tag(test, "test"))
+    return splits.with_split(table(spark, sf, "orders"), "o_orderdate").select("o_orderkey", "split")
 
 
 @query("positional_split", None, """

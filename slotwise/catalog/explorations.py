@@ -9,7 +9,7 @@ from slotwise.catalog.views import silver_airports, silver_flights, table, view
 from slotwise.operators.categories import cardinality
 from slotwise.operators.ranks import quantile
 from slotwise.plans import drift, explore, gold
-from slotwise.plans.splits import chronological_split
+from slotwise.plans.splits import with_split
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -256,10 +256,7 @@ def feature_report(spark, sf):
 
 # --------------------------------------------------------------------- drift
 def split_rows(spark, sf):
-    rows = labelled(spark, sf)
-    train, test, _ = chronological_split(rows, "dep_ts")
-    tag = lambda df, name: df.withColumn("split", F.lit(name))
-    return tag(train, "train").unionByName(tag(test, "test"))
+    return with_split(labelled(spark, sf), "dep_ts")
 
 
 SPLIT = """l AS (SELECT * FROM trips WHERE delay_min IS NOT NULL),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Accepted spellings (fixed values).
 TRUE_WORDS = ["t", "true", "1", "yes", "y"]
@@ -77,3 +77,12 @@ def binary_target(c: Column, kind: str) -> Column:
             c.isin("f", "false", "False", "0"), 0
         )
     return c.try_cast("int")
+
+
+def parsed_once(df: DataFrame, name: str, expression: Column) -> DataFrame:
+    """Add an expensive column that later filters on its parts must not repeat.
+
+    Filters are pushed below a projection, together with a copy of its
+    expressions, but not below an explode.
+    """
+    return df.select("*", F.explode(F.array(expression)).alias(name))

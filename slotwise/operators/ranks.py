@@ -87,24 +87,43 @@ def running_sums(
     )
 
 
+def quantile_parts(
+    value: str, wanted: dict[str, float], n: str = "n"
+) -> tuple[list[Column], list[Column]]:
+    """Aggregates over running sums, and the expressions that turn them into exact,
+    linearly interpolated quantiles (name -> probability)."""
+    first, last = F.col(f"cum_{n}") - F.col(n), F.col(f"cum_{n}") - 1
+    v = F.col(value).cast("double")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col(n) > 0) & (first <= rank) & (rank <= last), v))
+
+    parts, out = [], []
+    for name, probability in wanted.items():
+        position = F.lit(probability) * (F.col(f"total_{n}") - 1)
+        low, high, part = f"_low_{name}", f"_high_{name}", f"_part_{name}"
+        parts += [
+            at(F.floor(position)).alias(low),
+            at(F.ceil(position)).alias(high),
+            F.max(position - F.floor(position)).alias(part),
+        ]
+        out.append((F.col(low) + (F.col(high) - F.col(low)) * F.col(part)).alias(name))
+    return parts, out
+
+
+def picked_quantiles(
+    ranked: DataFrame, groups: list[str], value: str, wanted: dict[str, float]
+) -> DataFrame:
+    parts, out = quantile_parts(value, wanted)
+    return ranked.groupBy(*groups).agg(*parts).select(*groups, *out)
+
+
 def quantile_from_counts(
     counts: DataFrame, groups: list[str], value: str, probability: float
 ) -> DataFrame:
-    """Exact, linearly interpolated quantile per group: column ``quantile``."""
+    """Exact quantile per group from counts per value: column ``quantile``."""
     ranked = running_sums(counts.where(F.col(value).isNotNull()), groups, value, ["n"])
-    position = F.lit(probability) * (F.col("total_n") - 1)
-    low, high = F.floor(position), F.ceil(position)
-    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
-    v = F.col(value).cast("double")
-    holds = lambda rank: (first <= rank) & (rank <= last)
-    picked = ranked.where(holds(low) | holds(high)).groupBy(*groups).agg(
-        F.max(F.when(holds(low), v)).alias("_low"),
-        F.max(F.when(holds(high), v)).alias("_high"),
-        F.max(position - low).alias("_part"),
-    )
-    return picked.select(
-        *groups, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias("quantile")
-    )
+    return picked_quantiles(ranked, groups, value, {"quantile": probability})
 
 
 def quantile(df: DataFrame, groups: list[str], value: str, probability: float) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from slotwise.operators.categories import category_counts
-from slotwise.operators.ranks import median, quantile_from_counts, running_sums
+from slotwise.operators.ranks import median, quantile_parts, running_sums
 
 
 def _long(df: DataFrame, columns: list[str], split: str) -> DataFrame:
@@ -36,27 +36,20 @@ def numeric_drift(df: DataFrame, columns: list[str], split: str, train: str, tes
         F.try_divide(F.col("cum_train"), F.col("total_train"))
         - F.try_divide(F.col("cum_test"), F.col("total_test"))
     )
+    sides = [quantile_parts("value", {f"{s}_median": 0.5}, s) for s in ("train", "test")]
     stats = ranked.groupBy("feature").agg(
         F.try_divide(F.sum(F.col("value") * F.col("train")), F.sum("train")).alias("train_mean"),
         F.try_divide(F.sum(F.col("value") * F.col("test")), F.sum("test")).alias("test_mean"),
         F.max(gap).alias("ks_stat"),
         F.sum("train").alias("train_rows"),
         F.sum("test").alias("test_rows"),
+        *[part for parts, _ in sides for part in parts],
     )
-    middles = [
-        quantile_from_counts(
-            counts.where(F.col(side) > 0).select("feature", "value", F.col(side).alias("n")),
-            ["feature"], "value", 0.5,
-        ).withColumnRenamed("quantile", f"{side}_median")
-        for side in ("train", "test")
-    ]
-    out = stats.where("train_rows > 0 and test_rows > 0")
-    for middle in middles:
-        out = out.join(middle, "feature")
-    return out.select(
+    return stats.where("train_rows > 0 and test_rows > 0").select(
         "feature", "train_mean", "test_mean",
         (F.col("test_mean") - F.col("train_mean")).alias("mean_diff"),
-        "train_median", "test_median", "ks_stat", "train_rows", "test_rows",
+        *[c for _, out in sides for c in out],
+        "ks_stat", "train_rows", "test_rows",
     )
 
 

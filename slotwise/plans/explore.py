@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slotwise.operators.categories import stacked
-from slotwise.operators.ranks import quantile_from_counts
+from slotwise.operators.ranks import picked_quantiles, quantile_from_counts, running_sums
 
 
 def delay_rates(df: DataFrame, keys: dict[str, Column], late: Column, minutes: Column) -> DataFrame:
@@ -168,11 +166,9 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         (100.0 * F.count_if(F.col("value").isNull()) / F.count(F.lit(1))).alias("missing_pct"),
     )
     counts = long.where("value is not null").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = [
-        quantile_from_counts(counts, ["feature"], "value", p).withColumnRenamed("quantile", name)
-        for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
-    ]
-    return reduce(lambda a, b: a.join(b, "feature", "left"), quartiles, base)
+    ranked = running_sums(counts, ["feature"], "value", ["n"])
+    quartiles = picked_quantiles(ranked, ["feature"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return base.join(quartiles, "feature", "left")
 
 
 def table_profile(df: DataFrame, ts: str) -> DataFrame:

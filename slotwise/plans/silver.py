@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from slotwise.functions.casts import (
-    number, trimmed_code, upper_code, utc_timestamp, variant_int, yes_flag,
+    number, parsed_once, trimmed_code, upper_code, utc_timestamp, variant_int, yes_flag,
 )
 from slotwise.operators.upsert import keep_last
 from slotwise.schemas import (
@@ -23,7 +23,7 @@ def _time(path: str):
 
 def flatten_flights(raw: DataFrame, carry: list[str] = ()) -> DataFrame:
     """28 typed columns per raw flight; rows without a full key drop out."""
-    p = raw.withColumn("_p", F.from_json("payload", FLIGHT_PAYLOAD))
+    p = parsed_once(raw, "_p", F.from_json("payload", FLIGHT_PAYLOAD))
     flat = p.select(
         _code("_p.flight.iataNumber").alias("flight_iata"),
         _code("_p.flight.icaoNumber").alias("flight_icao"),
@@ -55,7 +55,7 @@ def flatten_flights(raw: DataFrame, carry: list[str] = ()) -> DataFrame:
 
 def flatten_notams(raw: DataFrame, carry: list[str] = ()) -> DataFrame:
     """Typed notices; rows without a number drop out."""
-    p = raw.withColumn("_p", F.from_json("payload", NOTAM_PAYLOAD))
+    p = parsed_once(raw, "_p", F.from_json("payload", NOTAM_PAYLOAD))
     flat = p.select(
         trimmed_code(F.col("_p.number")).alias("notam_number"),
         _code("_p.location").alias("location_icao"),

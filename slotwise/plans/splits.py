@@ -24,10 +24,18 @@ def cutoff_micros(df: DataFrame, order: str, test_size: float = 0.2) -> tuple[in
     return row[order], n
 
 
+def with_split(df: DataFrame, ts: str, test_size: float = 0.2) -> DataFrame:
+    """Column ``split``: ``train`` strictly before the cutoff time, ``test`` from it
+    on. Equal times stay together."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    cutoff, _ = cutoff_micros(df.select(micros.alias("_o")), "_o", test_size)
+    return df.withColumn("split", F.when(micros < cutoff, "train").otherwise("test"))
+
+
 def chronological_split(
     df: DataFrame, ts: str, test_size: float = 0.2
 ) -> tuple[DataFrame, DataFrame, int]:
-    """Train strictly before the cutoff time, test from it on. Equal times stay together."""
+    """Train rows, test rows and the cutoff in microseconds."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     cutoff, _ = cutoff_micros(df.select(micros.alias("_o")), "_o", test_size)
     return df.where(micros < cutoff), df.where(micros >= cutoff), cutoff

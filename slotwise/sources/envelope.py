@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from slotwise.functions.casts import blank_to_null, iso_date, utc_timestamp
+from slotwise.functions.casts import blank_to_null, iso_date, parsed_once, utc_timestamp
 
 FLIGHT_PROVENANCE = [
     "ingestion_ts_utc", "queried_airport", "query_direction", "chunk_from", "chunk_to", "source",
@@ -51,7 +51,7 @@ def decode(raw: DataFrame, provenance: list[str], value: str = "value") -> DataF
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad",
     })
     is_object = F.col(value).rlike(r"^\s*\{")
-    parsed = raw.withColumn("_e", envelope)
+    parsed = parsed_once(raw, "_e", envelope)
     typed = {
         "ingestion_ts_utc": utc_timestamp, "chunk_from": iso_date, "chunk_to": iso_date,
     }
