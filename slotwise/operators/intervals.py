@@ -81,7 +81,7 @@ def stab(
     distinct = intervals.where(F.col(start) <= F.col(end)).groupBy(place, start, end).agg(*merge)
     # Each interval becomes many blocks, so the few intervals go to all tasks.
     tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = distinct.repartition(tasks, place, start, end)
+    distinct = distinct.repartition(tasks, end, start, place)
 
     # Whole seconds [low, high) inside the interval, and the seconds of its two ends.
     cut = distinct.withColumns(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotwise.session import persist_table
 
@@ -79,7 +79,11 @@ def rewrite_partitions(
     )
 
 
-def table_exists(spark, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when the folder holds anything but work files. Commit markers are not
+    relied on: writes from inside a stream leave none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return False
+    return any(not entry.getPath().getName().startswith(("_", ".")) for entry in fs.listStatus(folder))

@@ -13,7 +13,7 @@ def add_chunks(spans: DataFrame, start: str, end: str, days: int) -> DataFrame:
     step = F.make_dt_interval(F.lit(days))
     return (
         spans.where(F.col(start) <= F.col(end))
-        .select("*", F.explode(F.sequence(start, end, step)).alias("chunk_from"))
+        .select("*", F.explode(F.sequence(start, F.greatest(start, end), step)).alias("chunk_from"))
         .withColumn("chunk_to", F.least(F.date_add("chunk_from", days - 1), F.col(end)))
     )
 
