@@ -52,7 +52,12 @@ def attach(
     share = F.col(weight) * F.lit(partitions) / F.lit(load["total"])
     slices = F.greatest(F.ceil(share), F.lit(1)).cast("int")
     hot = weights.where(share > 1).select(*renamed, slices.alias("_slices"))
-    slice_of = F.pmod(F.xxhash64(*spread_by), F.coalesce("_slices", F.lit(1))).cast("int")
+    slice_count = F.coalesce("_slices", F.lit(1))
+    if not null_safe:
+        # Rows that cannot match anything are spread as well.
+        unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        slice_count = F.when(unmatched, partitions).otherwise(slice_count)
+    slice_of = F.pmod(F.xxhash64(*spread_by), slice_count).cast("int")
     sliced = fact.join(F.broadcast(hot), match, "left").select(
         *fact.columns, slice_of.alias("_slice")
     )

@@ -7,9 +7,12 @@ the buckets before it, so no window ever spans more than one bucket of values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-BUCKETS = 64
+
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets per group: as many as there are shuffle tasks, within reason."""
+    return min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16), 256)
 
 
 def value_counts(df: DataFrame, groups: list[str], value: str, **sums: Column) -> DataFrame:
@@ -22,10 +25,11 @@ def value_counts(df: DataFrame, groups: list[str], value: str, **sums: Column) -
 def fitted_bounds(counts: DataFrame, groups: list[str], value: str) -> dict[tuple, list[float]]:
     """Approximate quantiles of the distinct values per group, read to the driver.
 
-    The bounds only balance the buckets, results do not depend on them. Their
-    number is ``BUCKETS`` per group, and groups are features or splits.
+    The bounds only balance the buckets, results do not depend on them. Groups are
+    features, splits or the like, so the driver gets a few hundred numbers for each.
     """
-    probabilities = [i / BUCKETS for i in range(1, BUCKETS)]
+    buckets = bucket_count(counts.sparkSession)
+    probabilities = [i / buckets for i in range(1, buckets)]
     fitted = counts.groupBy(*groups).agg(
         F.percentile_approx(F.col(value).cast("double"), probabilities, 1000).alias("_b")
     )
@@ -61,7 +65,7 @@ def running_sums(
     """
     bounds = fitted_bounds(counts, groups, value)
     cut = counts.withColumn("_bucket", _bucket(groups, value, bounds))
-    # One row per bucket: at most BUCKETS rows per group.
+    # One row per bucket: at most 256 rows per group.
     earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -67,8 +67,9 @@ def rewrite_partitions(
     staged = persist_table(batch, "upsert-batch")
     existing = None
     if table_exists(spark, path):
-        touched = staged.select(partition).distinct()
-        existing = spark.read.parquet(path).join(touched, partition, "left_semi")
+        # Partition values as literals, so the other partitions are not even listed.
+        touched = [r[0] for r in staged.select(partition).distinct().collect()]
+        existing = spark.read.parquet(path).where(F.col(partition).isin(touched))
     merged = persist_table(upsert(existing, staged, keys, mutable), "upsert-merged")
     (
         merged.hint("rebalance", F.col(partition))
