@@ -186,14 +186,14 @@ def airport_clean(spark, sf):
 
 
 @query("extract_plan", None, """
-SELECT n_name AS airport, d AS direction, cast(c.a::date AS varchar) AS chunk_from,
+SELECT s_name AS airport, d AS direction, cast(c.a::date AS varchar) AS chunk_from,
   cast(least(c.a::date + 6, date '2024-01-31') AS varchar) AS chunk_to
-FROM nation, (VALUES ('departure'), ('arrival')) v(d),
+FROM supplier, (VALUES ('departure'), ('arrival')) v(d),
   (SELECT unnest(generate_series(timestamp '2024-01-01', timestamp '2024-01-31', INTERVAL 7 DAY)) AS a) c
 """)
 def extract_plan(spark, sf):
     return worklist.extract_plan(
-        table(spark, sf, "nation"), "n_name", ["departure", "arrival"], date(2024, 1, 1), date(2024, 1, 31), 7
+        table(spark, sf, "supplier"), "s_name", ["departure", "arrival"], date(2024, 1, 1), date(2024, 1, 31), 7
     )
 
 
