@@ -17,7 +17,7 @@ from slotwise.operators.upsert import rewrite_partitions
 from slotwise.schemas import (
     DELAY_THRESHOLD_MINUTES, FLIGHT_KEY, GOLD_KEY, GOLD_REGISTRY, MONITORED_AIRPORTS,
 )
-from slotwise.sources.incremental import overlapping, rows_between
+from slotwise.sources.incremental import overlapping
 from slotwise.session import persist_table
 
 # Airport column -> suffix of its dep_/arr_ copies (fixed values).
@@ -258,6 +258,16 @@ def cell_features(
     return add_notices(out, cells, notams, options, spread).drop("day_no", "hour")
 
 
+def departing(flights: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Flights scheduled in [start, end). A table partitioned by ``dep_date`` is
+    also filtered by day, so that other days are not read."""
+    ts = F.col("dep_scheduled_utc")
+    rows = flights.where((ts >= F.lit(start)) & (ts < F.lit(end)))
+    if "dep_date" in flights.columns:
+        rows = rows.where(F.col("dep_date").between(F.lit(start.date()), F.lit(end.date())))
+    return rows
+
+
 def build_features(
     flights: DataFrame,
     airports: DataFrame,
@@ -273,15 +283,15 @@ def build_features(
     daily totals, notice features) are written to the shared folder on the way, so
     the flights are scanned four times, whatever the number of features.
     """
-    ts = "dep_scheduled_utc"
-    target = rows_between(flights, ts, F.lit(start), F.lit(end), ["flight_iata"])
-    history = flights.where(
-        (F.col(ts) >= F.lit(start - timedelta(days=max(options.windows)))) & (F.col(ts) < F.lit(end))
+    target = departing(flights, start, end).dropna(subset=["flight_iata"])
+    history = departing(flights, start - timedelta(days=max(options.windows)), end)
+    # Departures of the window, and arrivals of the window whichever day they left:
+    # the row groups of other days are skipped by their arrival times.
+    dep, arr = F.col("dep_scheduled_utc"), F.col("arr_scheduled_utc")
+    first, last = F.lit(start), F.lit(end)
+    same_days = flights.where(
+        ((dep >= first) & (dep < last)) | ((arr >= first) & (arr < last))
     )
-    # Departures of the window and arrivals of the window, whichever day they left.
-    same_days = flights.where((F.col(ts) < F.lit(end)) & (F.col(ts) >= F.lit(start)) | (
-        (F.col("arr_scheduled_utc") >= F.lit(start)) & (F.col("arr_scheduled_utc") < F.lit(end))
-    ))
     notices = (
         notams
         if options.open_ended

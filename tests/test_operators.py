@@ -36,6 +36,14 @@ def test_attach_spreads_a_hot_key_over_slices(spark):
     assert slices == 4 and joined.where("v = 1").count() == 4000
 
 
+def test_attach_without_null_safety_leaves_null_keys_unmatched(spark):
+    keys = ["hot"] * 500 + [None] * 400 + ["cold"] * 100
+    fact = spark.createDataFrame(list(enumerate(keys)), "id long, key string")
+    lookup = fact.dropna().groupBy("key").agg(F.count(F.lit(1)).alias("w"), F.lit(1).alias("v"))
+    got = attach.attach(fact, lookup, ["key"], "w", ["id"]).groupBy("key").agg(F.count("id").alias("n"), F.sum("v").alias("v"))
+    assert {r["key"]: (r["n"], r["v"]) for r in got.collect()} == {"hot": (500, 500), None: (400, None), "cold": (100, 100)}
+
+
 def test_plain_join_without_hot_keys(spark):
     fact = spark.range(1000).select("id", F.pmod("id", F.lit(200)).alias("key"))
     lookup = fact.groupBy("key").agg(F.count(F.lit(1)).alias("w"), F.sum("id").alias("total"))

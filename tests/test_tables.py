@@ -336,3 +336,22 @@ def test_open_cells_with_one_hot_route(spark):
     assert len(got) == 180
     assert {got[f"H{i}"]["flights_dep_same_hour"] for i in range(60)} == {65}
     assert all(r["notam_count_dep"] == 1 for r in got.values())
+
+
+def test_partitioned_flights_are_pruned_by_day(spark, tmp_path):
+    data = [(f"F{d}", "ALA", "UAAA", "IST", "LTFM", datetime(2026, 4, d, 12), None, d, "KC") for d in range(1, 12)]
+    frame = flights_frame(spark, data)
+    path = str(tmp_path / "silver")
+    frame.withColumn("dep_date", F.to_date("dep_scheduled_utc")).write.partitionBy("dep_date").parquet(path)
+    table = spark.read.parquet(path)
+    plan = gold.departing(table, datetime(2026, 4, 10), datetime(2026, 4, 11))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dep_date" in plan
+
+    def call(flights):
+        return sorted(
+            tuple(r) for r in gold.build_features(
+                flights, airports_frame(spark), notams_frame(spark, []), datetime(2026, 4, 10), datetime(2026, 4, 11)
+            ).collect()
+        )
+
+    assert call(table) == call(frame) and len(call(frame)) == 1
