@@ -43,17 +43,15 @@ def local_session(app: str, cores: int = 8) -> SparkSession:
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a folder of this machine.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master, whose tasks
+    run on this very machine, may do without: it gets a temporary folder per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="slotwise-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return f"file://{tempfile.gettempdir()}/slotwise-{spark.sparkContext.applicationId}"
 
 
 def new_work_dir(spark: SparkSession, label: str) -> str:
