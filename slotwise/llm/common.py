@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from slotwise.session import configure, persist_table
@@ -64,7 +65,7 @@ def pieces(batches, limit_rows: int, limit_bytes: int, column: str = "text"):
 
 
 def _offsets(array) -> bytes:
-    lengths = pa.compute.binary_length(array).fill_null(0).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(array).fill_null(0).to_numpy(zero_copy_only=False)
     return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64).tobytes()
 
 

@@ -9,6 +9,7 @@ from slotwise.llm.common import table
 from slotwise.llm.decontamination import contaminated
 from slotwise.llm.exact_dedup import exact_dedup
 from slotwise.llm.simhash_dedup import simhash_groups
+from slotwise.llm.suffix_tree import score_documents, training_fold
 from slotwise.llm.warc import round_trip
 from slotwise.session import configure
 
@@ -32,6 +33,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_suffix_tree")
+def op1_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return score_documents(table(spark, sf, "documents"), training_fold())
+
+
 @query(
     "op2_exact_dedup",
     r"""
