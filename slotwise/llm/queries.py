@@ -9,6 +9,7 @@ from slotwise.llm.common import table
 from slotwise.llm.decontamination import contaminated
 from slotwise.llm.exact_dedup import exact_dedup
 from slotwise.llm.simhash_dedup import simhash_groups
+from slotwise.llm.sparse_suffixes import repeated_spans
 from slotwise.llm.suffix_tree import score_documents, training_fold
 from slotwise.llm.warc import round_trip
 from slotwise.session import configure
@@ -82,6 +83,11 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return encode_documents(docs, tokenizer_path(), digests=True)
 
 
+@query("op9_sparse_suffixes")
+def op9_sparse_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_spans(table(spark, sf, "documents"))
+
+
 @query("op10_simhash_dedup")
 def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_groups(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
