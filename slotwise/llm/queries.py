@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.llm.bpe import encode_documents
-from slotwise.llm.common import table
+from slotwise.llm.common import fold, table
 from slotwise.llm.decontamination import contaminated
 from slotwise.llm.exact_dedup import exact_dedup
+from slotwise.llm.quality import score_quality
 from slotwise.llm.simhash_dedup import simhash_groups
 from slotwise.llm.sparse_suffixes import repeated_spans
 from slotwise.llm.suffix_tree import score_documents, training_fold
@@ -54,6 +55,11 @@ def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents")).drop("_row")
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"), fold(3) == 1)
+
+
 @query(
     "op5_warc",
     r"""
