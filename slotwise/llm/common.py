@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,6 +20,19 @@ ROW = "_row"
 written = persist_table
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, which may have no other way to import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        home = Path(__file__).resolve().parents[2]
+        packed = shutil.make_archive(f"{tempfile.mkdtemp(prefix='slotwise-')}/slotwise", "zip", home, "slotwise")
+        context.addPyFile(packed)
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.llm.bpe import encode_documents
-from slotwise.llm.common import fold, table
+from slotwise.llm.common import fold, ship, table
 from slotwise.llm.decontamination import contaminated
 from slotwise.llm.exact_dedup import exact_dedup
 from slotwise.llm.quality import score_quality
 from slotwise.llm.simhash_dedup import simhash_groups
 from slotwise.llm.sparse_suffixes import repeated_spans
 from slotwise.llm.suffix_tree import score_documents, training_fold
+from slotwise.llm.toxicity import score_toxicity
 from slotwise.llm.warc import round_trip
 from slotwise.session import configure
 
@@ -21,7 +22,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = lambda spark, sf: fn(configure(spark), sf)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship(spark)
+            return fn(configure(spark), sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn
@@ -60,6 +65,11 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"), fold(3) == 1)
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"), fold(5) == 0)
+
+
 @query(
     "op5_warc",
     r"""
