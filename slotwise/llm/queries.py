@@ -8,6 +8,7 @@ from slotwise.llm.bpe import encode_documents
 from slotwise.llm.common import fold, ship, table
 from slotwise.llm.decontamination import contaminated
 from slotwise.llm.exact_dedup import exact_dedup
+from slotwise.llm.personal_data import find_personal_data
 from slotwise.llm.quality import score_quality
 from slotwise.llm.simhash_dedup import simhash_groups
 from slotwise.llm.sparse_suffixes import repeated_spans
@@ -99,6 +100,11 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return encode_documents(docs, tokenizer_path(), digests=True)
 
 
+@query("op8_personal_data")
+def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return find_personal_data(table(spark, sf, "documents"))
+
+
 @query("op9_sparse_suffixes")
 def op9_sparse_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     return repeated_spans(table(spark, sf, "documents"))
