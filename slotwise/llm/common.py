@@ -21,10 +21,14 @@ written = persist_table
 
 
 _shipped: set[str] = set()
+BATCH_ROWS = 2048
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers, which may have no other way to import it."""
+    """Give this package to the Python workers, which may have no other way to import it,
+    and let them have texts in short batches."""
+    # Batches of long texts should not fill a worker's memory.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         home = Path(__file__).resolve().parents[2]
