@@ -26,8 +26,8 @@ SEED = 20
 SPAN = 31
 PASSAGE = SEED + SPAN - 1
 # Documents and bytes of text in a block, and hashes that a bucket is meant to hold.
-BLOCK_ROWS, BLOCK_BYTES = 8192, 16 << 20
-BUCKET = 1 << 21
+BLOCK_ROWS, BLOCK_BYTES = 8192, 8 << 20
+BUCKET = 1 << 18
 # Matching suffixes are told to the second pass by a Bloom filter of this many bits, a fixed
 # size. Its errors only make the second pass look at more passages.
 FILTER_BITS = 1 << 26
@@ -271,5 +271,5 @@ def repeated_spans(docs: DataFrame, bits: int = FILTER_BITS, bucket: int = BUCKE
 
 
 def _power(x: float) -> int:
-    """The power of two next above ``x``, from 8 to 2^18."""
-    return 1 << min(18, max(3, int(np.ceil(np.log2(max(x, 1))))))
+    """The power of two next above ``x``, from 8 to 2^20."""
+    return 1 << min(20, max(3, int(np.ceil(np.log2(max(x, 1))))))
