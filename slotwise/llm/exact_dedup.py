@@ -90,6 +90,8 @@ def exact_dedup(docs: DataFrame, bits: int = 64, least: int = LEAST, most: int =
         F.count(F.lit(1)).alias("group_size"), F.min_by(F.struct("doc_id", ROW), order).alias("keep")
     )
     best = best.select("h", "recipe", "group_size", F.col("keep.doc_id").alias("keep_id"), F.col(f"keep.{ROW}").alias("keep_row"))
+    # Written, so that the join deals both sides itself and can split a group of very many copies.
+    best = written(best, "recipe-groups")
     return made.join(best, ["h", "recipe"]).select(
         "doc_id", "keep_id", "group_size", (F.col(ROW) == F.col("keep_row")).alias("kept"), "text_sha256", ROW
     )
