@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -17,7 +17,6 @@ from slotwise.plans import gold
 from slotwise.session import new_work_dir
 
 OPTIONS = gold.GoldOptions(monitored=tuple(MONITORED))
-START, END = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -365,9 +364,12 @@ def text_flags(spark, sf):
 
 # ---------------------------------------------------------------------- gold
 def gold_table(spark, sf):
-    return gold.build_features(
-        silver_flights(spark, sf), silver_airports(spark, sf), silver_notams(spark, sf), START, END, OPTIONS
-    )
+    """Features of all departures: the range is that of the table."""
+    flights = silver_flights(spark, sf)
+    first, last = flights.agg(F.min("dep_scheduled_utc"), F.max("dep_scheduled_utc")).first()
+    start = first or datetime(1970, 1, 1)
+    end = (last or start) + timedelta(microseconds=1)
+    return gold.build_features(flights, silver_airports(spark, sf), silver_notams(spark, sf), start, end, OPTIONS)
 
 
 def _hist(on, days):

@@ -247,7 +247,8 @@ def stream_bronze_silver(spark, sf):
     sent = envelope.wrap(
         flight_payloads(spark, sf), "record", envelope.FLIGHT_PROVENANCE, envelope.flight_key(F.col("record"))
     )
-    sent.repartition(4, "key").select("value").write.text(f"{base}/in")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent.repartition(files, "key").select("value").write.text(f"{base}/in")
     stream = landing.landing_files(spark, f"{base}/in", max_files=2)
     landing.drain(
         landing.land(stream, envelope.FLIGHT_PROVENANCE, f"{base}/raw", f"{base}/bad", f"{base}/cp1")

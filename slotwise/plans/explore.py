@@ -27,10 +27,15 @@ def worst_groups(
 
 
 def equal_width_rates(df: DataFrame, value: str, late: Column, bins: int = 8) -> DataFrame:
-    """Late rate per equal-width bin, closed on the right; empty bins included."""
+    """Late rate per equal-width bin, closed on the right; empty bins included.
+
+    A column of one value gets a range of a thousandth of it to either side.
+    """
     rows = df.where(F.col(value).isNotNull())
     span = rows.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    spread = F.when(lo == 0, F.lit(0.001)).otherwise(F.abs(lo) / 1000)
+    lo, hi = F.when(lo < hi, lo).otherwise(lo - spread), F.when(lo < hi, hi).otherwise(hi + spread)
     width = (hi - lo) / bins
     number = F.greatest(F.ceil((F.col(value) - lo) / width), F.lit(1)).cast("int")
     counted = rows.groupBy(F.least(number, F.lit(bins)).alias("bin")).agg(

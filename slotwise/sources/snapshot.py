@@ -12,7 +12,8 @@ from slotwise.schemas import AIRPORT_CSV_COLUMNS
 def read_airport_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, empty text as NULL, tagged with the file name.
 
-    Columns are matched by the header of the file, other columns are ignored.
+    Columns are matched by header, other columns are ignored. The files of one read must
+    have the same header; one with another order of columns fails the read.
     """
     header = spark.read.option("header", True).csv(path).columns
     missing = [c for c in AIRPORT_CSV_COLUMNS if c not in header]
@@ -22,6 +23,7 @@ def read_airport_csv(spark: SparkSession, path: str) -> DataFrame:
     rows = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", True)
         .csv(path)

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from slotwise.operators.upsert import rewrite_partitions
-from slotwise.plans.silver import latest_airports, latest_flights, latest_notams
+from slotwise.operators.upsert import replay, rewrite_partitions
+from slotwise.plans.silver import clean_airports, flatten_flights, flatten_notams
 from slotwise.schemas import (
     AIRPORT_KEY, AIRPORT_MUTABLE, FLIGHT_KEY, FLIGHT_MUTABLE, NOTAM_KEY, NOTAM_MUTABLE,
 )
@@ -21,7 +21,7 @@ KEY_PARTITIONS = 64
 
 @dataclass(frozen=True)
 class Entity:
-    latest: Callable[[DataFrame, list[str]], DataFrame]
+    flatten: Callable[[DataFrame, list[str]], DataFrame]
     keys: list[str]
     mutable: list[str]
     partition: str
@@ -33,15 +33,21 @@ def _key_partition(key: str) -> Callable[[], Column]:
 
 
 FLIGHTS = Entity(
-    latest_flights, FLIGHT_KEY, FLIGHT_MUTABLE, "dep_date", lambda: F.to_date("dep_scheduled_utc")
+    flatten_flights, FLIGHT_KEY, FLIGHT_MUTABLE, "dep_date", lambda: F.to_date("dep_scheduled_utc")
 )
-NOTAMS = Entity(latest_notams, NOTAM_KEY, NOTAM_MUTABLE, "key_part", _key_partition("notam_number"))
-AIRPORTS = Entity(latest_airports, AIRPORT_KEY, AIRPORT_MUTABLE, "key_part", _key_partition("iata_code"))
+NOTAMS = Entity(flatten_notams, NOTAM_KEY, NOTAM_MUTABLE, "key_part", _key_partition("notam_number"))
+AIRPORTS = Entity(clean_airports, AIRPORT_KEY, AIRPORT_MUTABLE, "key_part", _key_partition("iata_code"))
 
 
 def promote_batch(raw: DataFrame, entity: Entity, table: str, order: list[str]) -> None:
-    """Flatten, keep the last row per key, upsert into the touched partitions."""
-    rows = entity.latest(raw, order).withColumns(
+    """Flatten, fold the landed batches of each key into one row, upsert the touched partitions.
+
+    The first column of ``order`` names the landed batch. Within one the last row of a key
+    counts; over batches mutable columns come from the last, the others from the first, so
+    it does not matter how many landed batches one micro-batch holds.
+    """
+    flat = entity.flatten(raw, order)
+    rows = replay(flat, entity.keys, entity.mutable, order[0], order).withColumns(
         {entity.partition: entity.partition_value(), "updated_at": F.current_timestamp()}
     )
     mutable = [*entity.mutable, "updated_at"]

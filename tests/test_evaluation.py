@@ -152,6 +152,13 @@ def test_category_shift(spark):
     assert [r["c"] for r in unseen.collect()] == ["b"]
 
 
+def test_equal_width_bins_of_one_value(spark):
+    for value in (0, -4):
+        df = spark.createDataFrame([(value, True), (value, False)], "v int, late boolean")
+        got = explore.equal_width_rates(df, "v", F.col("late"), 4).orderBy("bin").collect()
+        assert [r.rows for r in got] == [0, 2, 0, 0] and got[1].delay_rate == 0.5 and got[0].low < value < got[3].high
+
+
 def test_equal_width_bins_match_pandas(spark):
     random.seed(12)
     values = [random.random() * 700 for _ in range(300)] + [0.0, 700.0, None]

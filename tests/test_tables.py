@@ -204,6 +204,18 @@ def test_split_into_files_does_not_change_mutable_columns(spark, tmp_path):
     ]
 
 
+def test_grouping_of_landed_batches_changes_no_column(spark, tmp_path):
+    when = "2026-04-10T08:00:00"
+    batches = [[message(flight("kc1", when, n, t))] for n, t in enumerate("ABC")]
+    run = land_and_promote(spark, tmp_path / "steps", batches[:1], 1)
+    run()
+    for number, lines in enumerate(batches[1:], 1):
+        (tmp_path / "steps" / "in" / f"00{number}.json").write_text("\n".join(lines) + "\n")
+        run()
+    land_and_promote(spark, tmp_path / "together", batches, 1)()
+    assert silver_rows(spark, tmp_path / "steps") == silver_rows(spark, tmp_path / "together") == [("KC1", 2, "A")]
+
+
 def test_replay_equals_one_upsert_per_batch(spark, tmp_path):
     from slotwise.operators.upsert import rewrite_partitions
 
