@@ -363,12 +363,17 @@ def text_flags(spark, sf):
 
 
 # ---------------------------------------------------------------------- gold
-def gold_table(spark, sf):
-    """Features of all departures: the range is that of the table."""
-    flights = silver_flights(spark, sf)
+def departure_range(flights):
+    """[start, end) of all departures of the table."""
     first, last = flights.agg(F.min("dep_scheduled_utc"), F.max("dep_scheduled_utc")).first()
     start = first or datetime(1970, 1, 1)
-    end = (last or start) + timedelta(microseconds=1)
+    return start, (last or start) + timedelta(microseconds=1)
+
+
+def gold_table(spark, sf):
+    """Features of all departures."""
+    flights = silver_flights(spark, sf)
+    start, end = departure_range(flights)
     return gold.build_features(flights, silver_airports(spark, sf), silver_notams(spark, sf), start, end, OPTIONS)
 
 
@@ -437,12 +442,14 @@ def gold_features(spark, sf):
   cast(sum(notam_count_route) AS bigint) AS notices, cast(sum(flights_dep_same_hour) AS bigint) AS same_hour
 FROM gold GROUP BY 1""")
 def gold_rebuild_window(spark, sf):
-    """Write the month, then rebuild its last week as a later run would."""
+    """Write all days, then rebuild the last week as a later run would."""
     path = new_work_dir(spark, "gold")
     gold.write_features(gold_table(spark, sf), path)
+    flights = silver_flights(spark, sf)
+    _, end = departure_range(flights)
     again = gold.build_features(
-        silver_flights(spark, sf), silver_airports(spark, sf), silver_notams(spark, sf),
-        datetime(2024, 1, 24), END, OPTIONS,
+        flights, silver_airports(spark, sf), silver_notams(spark, sf),
+        datetime.combine(end.date() - timedelta(days=7), datetime.min.time()), end, OPTIONS,
     )
     gold.write_features(again, path)
     return spark.read.parquet(path).groupBy("dep_date").agg(
