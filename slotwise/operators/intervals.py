@@ -1,24 +1,24 @@
 """Which validity intervals hold at a point in time, without pairing all rows.
 
-An interval is cut into aligned blocks of four lengths, from one second up. Blocks
-are summed per (place, block) before they meet any point, and a point looks up the
-one block of each length it lies in. Only the two seconds in which an interval
-begins and ends are compared by their exact times.
+An interval is clipped to the times that are asked for and cut into aligned blocks of
+five lengths, from 64 seconds up. Blocks are summed per (place, block) before they meet
+any point, and a point looks up the one block of each length it lies in. Only in the two
+64-second blocks in which an interval begins and ends are exact times compared.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Blocks of 2**0, 2**6, 2**12 and 2**18 seconds (1 s, 64 s, 68 min, 3 days).
-TIERS = [0, 6, 12, 18]
-STEP = 6
-MICROS = 1_000_000
+# Blocks of 64 s times 2**0, 2**4, 2**8, 2**12 and 2**16 (64 s, 17 min, 4.5 h, 3 days, 48 days).
+TIERS = [0, 4, 8, 12, 16]
+STEP = 4
+UNIT = 64_000_000
 
 
-def _second(micros: Column) -> Column:
-    """Whole second that holds a time in microseconds."""
-    return ((micros - F.pmod(micros, F.lit(MICROS).cast("long"))) / F.lit(MICROS)).cast("long")
+def _unit(micros: Column) -> Column:
+    """Smallest block that holds a time in microseconds."""
+    return ((micros - F.pmod(micros, F.lit(UNIT).cast("long"))) / F.lit(UNIT)).cast("long")
 
 
 def _span(start: Column, stop: Column, tier: int) -> Column:
@@ -30,7 +30,7 @@ def _span(start: Column, stop: Column, tier: int) -> Column:
 
 
 def _with_blocks(df: DataFrame, low: str, high: str) -> DataFrame:
-    """One row per block of the exact cover of the whole seconds [low, high).
+    """One row per block of the exact cover of the smallest blocks [low, high).
 
     Each tier takes what does not fill a block of the next one at either end. The
     bounds are columns of their own, so the expressions stay small.
@@ -74,22 +74,29 @@ def stab(
     the sums and maxima over those intervals.
 
     ``at``, ``start`` and ``end`` are long microseconds. ``points`` should be
-    distinct already. Points inside no interval are absent from the result.
+    distinct already, and cheap to read: a first pass takes their earliest and latest
+    time. Points inside no interval are absent from the result.
+
+    Intervals end where the points end, so one that never ends makes no more blocks
+    than the asked range holds.
     """
     merge = [F.sum(c).alias(c) for c in sums] + [F.max(c).alias(c) for c in maxima]
     measures = [*sums, *maxima]
-    distinct = intervals.where(F.col(start) <= F.col(end)).groupBy(place, start, end).agg(*merge)
+    earliest, latest = (F.lit(t).cast("long") for t in points.agg(F.min(at), F.max(at)).first())
+    asked = intervals.where((F.col(start) <= F.col(end)) & (F.col(start) <= latest) & (F.col(end) >= earliest))
+    clipped = asked.withColumns({start: F.greatest(start, earliest), end: F.least(end, latest)})
+    distinct = clipped.groupBy(place, start, end).agg(*merge)
     # Each interval becomes many blocks, so the few intervals go to all tasks.
     tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = distinct.repartition(tasks, end, start, place)
 
-    # Whole seconds [low, high) inside the interval, and the seconds of its two ends.
+    # Smallest blocks [low, high) wholly inside the interval, and the blocks of its two ends.
     cut = distinct.withColumns(
         {
-            "_low": _second(F.col(start) + MICROS - 1),
-            "_first": _second(F.col(start)),
-            "_last": _second(F.col(end)),
-            "_high": _second(F.col(end) + 1),
+            "_low": _unit(F.col(start) + UNIT - 1),
+            "_first": _unit(F.col(start)),
+            "_last": _unit(F.col(end)),
+            "_high": _unit(F.col(end) + 1),
         }
     ).withColumn("_high", F.greatest("_low", "_high"))
     covered = (
@@ -109,18 +116,18 @@ def stab(
         place, start, end, *measures, F.explode(F.array_compact(partly)).alias("block")
     )
 
-    second = _second(F.col(at))
+    unit = _unit(F.col(at))
     tiers = F.array(
         *[F.struct(F.lit(t).alias("tier"), F.shiftright("_s", t).alias("block")) for t in TIERS]
     )
     looking = (
-        points.select(place, at, second.alias("_s"))
+        points.select(place, at, unit.alias("_s"))
         .select(place, at, F.explode(tiers).alias("_b"))
         .select(place, at, F.col("_b.tier").alias("tier"), F.col("_b.block").alias("block"))
     )
     whole = looking.join(covered, [place, "tier", "block"]).select(place, at, *measures)
     partial = (
-        points.select(place, at, second.alias("block"))
+        points.select(place, at, unit.alias("block"))
         .join(edges, [place, "block"])
         .where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end)))
         .select(place, at, *measures)
