@@ -1,4 +1,4 @@
-"""The JSON envelope of the raw feeds: provenance around an untouched payload."""
+"""The JSON envelope of the raw feeds: provenance around the payload as text."""
 
 from __future__ import annotations
 
@@ -44,10 +44,12 @@ def decode(raw: DataFrame, provenance: list[str], value: str = "value") -> DataF
     """Split an envelope into typed provenance columns and the payload text.
 
     ``decoded`` is false for values that are not a JSON object. The payload is
-    carried along as text, so fields nobody knows yet survive.
+    carried along as text with its order of keys, repeated keys and long integers, so fields
+    nobody knows yet survive; blanks between tokens go and fractions are spelled anew (1.10
+    as 1.1). A payload that is a plain JSON string comes without its quotes, none as ``{}``.
     """
     fields = ", ".join(f"{c} string" for c in provenance)
-    envelope = F.from_json(F.col(value), f"{fields}, payload variant, _bad string", {
+    envelope = F.from_json(F.col(value), f"{fields}, payload string, _bad string", {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad",
     })
     is_object = F.col(value).rlike(r"^\s*\{")
@@ -60,7 +62,7 @@ def decode(raw: DataFrame, provenance: list[str], value: str = "value") -> DataF
         F.coalesce(is_object & F.col("_e").isNotNull() & F.col("_e._bad").isNull(), F.lit(False))
         .alias("decoded"),
         *[typed.get(c, lambda x: x)(F.col(f"_e.{c}")).alias(c) for c in provenance],
-        F.coalesce(F.to_json("_e.payload"), F.lit("{}")).alias("payload"),
+        F.coalesce(F.col("_e.payload"), F.lit("{}")).alias("payload"),
     )
 
 
