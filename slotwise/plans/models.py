@@ -40,7 +40,7 @@ FOREST_SPACE = {
     "minInstancesPerNode": [1, 2, 5, 10],
     "featureSubsetStrategy": ["sqrt", "log2", "all"],
 }
-LOGISTIC_SPACE = {"regParam": [10.0 ** (3 - i * 5 / 11) for i in range(12)]}
+LOGISTIC_C = [10.0 ** (i * 5 / 11 - 3) for i in range(12)]
 BOOSTING_SPACE = {
     "maxIter": [100, 200, 300],
     "stepSize": [0.03, 0.05, 0.08, 0.10],
@@ -180,12 +180,23 @@ def tune_threshold(frame: ModelFrame, estimator: Estimator, **limits: float) ->
 
 
 # ------------------------------------------------------------------ baselines
-def baseline_classifiers(small: dict | None = None) -> dict[str, Estimator]:
-    """Baseline estimators; ``small`` overrides tree counts for quick runs."""
+def logistic_penalty(c: float, rows: int) -> float:
+    """MLlib averages the loss that ``c`` weighs as a sum, so the penalty falls with the rows."""
+    return 1 / (c * max(rows, 1))
+
+
+def logistic_space(rows: int) -> dict[str, list]:
+    return {"regParam": [logistic_penalty(c, rows) for c in LOGISTIC_C]}
+
+
+def baseline_classifiers(rows: int, small: dict | None = None) -> dict[str, Estimator]:
+    """Baseline estimators for that many training rows; ``small`` overrides tree counts
+    for quick runs."""
     small = small or {}
     return {
         "Logistic Regression": LogisticRegression(
-            labelCol="y", featuresCol="features", maxIter=small.get("maxIter", 3000)
+            labelCol="y", featuresCol="features", maxIter=small.get("maxIter", 3000),
+            regParam=logistic_penalty(1.0, rows), standardization=False,
         ),
         "Random Forest": RandomForestClassifier(
             labelCol="y", featuresCol="features", numTrees=small.get("numTrees", 300),
@@ -197,15 +208,16 @@ def baseline_classifiers(small: dict | None = None) -> dict[str, Estimator]:
     }
 
 
-def baseline_regressors(small: dict | None = None) -> dict[str, Estimator]:
+def baseline_regressors(rows: int, small: dict | None = None) -> dict[str, Estimator]:
     small = small or {}
     return {
         "Ridge": LinearRegression(
-            labelCol="log_minutes", featuresCol="features", regParam=1.0, elasticNetParam=0.0
+            labelCol="log_minutes", featuresCol="features", regParam=1 / max(rows, 1),
+            elasticNetParam=0.0, standardization=False,
         ),
         "Random Forest Regressor": RandomForestRegressor(
             labelCol="log_minutes", featuresCol="features", numTrees=small.get("numTrees", 300),
-            maxDepth=small.get("maxDepth", 20), minInstancesPerNode=2, seed=42,
+            maxDepth=small.get("maxDepth", 20), minInstancesPerNode=2, featureSubsetStrategy="all", seed=42,
         ),
         "Gradient Boosting Regressor": GBTRegressor(
             labelCol="log_minutes", featuresCol="features", maxIter=small.get("rounds", 200),

@@ -87,7 +87,7 @@ def test_permutation_importance_finds_the_signal(fitted):
 
 def test_baselines_beat_the_majority(fitted):
     train, _ = fitted
-    estimators = models.baseline_classifiers({"maxIter": 10, "numTrees": 5, "maxDepth": 3, "rounds": 2})
+    estimators = models.baseline_classifiers(200, {"maxIter": 10, "numTrees": 5, "maxDepth": 3, "rounds": 2})
     rows = models.compare_classifiers(train, train.rows, {"Random Forest": estimators["Random Forest"]}, "baseline").collect()
     assert [r["model"] for r in rows] == ["Random Forest", "Dummy most_frequent"]
     assert rows[1]["roc_auc"] == pytest.approx(0.5)
