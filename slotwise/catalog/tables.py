@@ -261,6 +261,50 @@ def stream_bronze_silver(spark, sf):
     return spark.read.parquet(f"{base}/flights").select(*FLAT_COLUMNS)
 
 
+def notice_payloads(spark, sf, source, days, chosen="true"):
+    """Notices as the feed delivers them, valid ``days`` longer."""
+    def text(ts):
+        return f"date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+
+    return view(spark, sf, "notices").where(chosen).selectExpr(
+        f"""named_struct('number', CASE WHEN notice_no % 11 = 0 THEN ' ' ELSE ' n' || cast(notice_no AS string) END,
+          'location', lower(loc), 'class', '{source}', 'startdateutc', {text('st')},
+          'enddateutc', {text(f'en + make_interval(0, 0, 0, {days}, 0, 0, 0)')}, 'condition', txt) AS record""",
+        f"{text('st')} AS ingestion_ts_utc", "loc AS queried_airport", "cast(to_date(st) AS string) AS chunk_from",
+        "cast(to_date(st) AS string) AS chunk_to", f"'{source}' AS source", "'notices' AS source_endpoint",
+    )
+
+
+@query("stream_notices", ["notices"], """
+SELECT 'N' || cast(notice_no AS varchar) AS notam_number, loc AS location_icao,
+  CASE WHEN notice_no % 3 = 0 THEN 'second' ELSE 'first' END AS class, epoch_us(st) AS start_utc,
+  epoch_us(CASE WHEN notice_no % 3 = 0 THEN en + INTERVAL 1 DAY ELSE en END) AS end_utc, txt AS condition_text,
+  loc AS queried_airport, 'first' AS source
+FROM notices WHERE notice_no % 11 <> 0
+""")
+def stream_notices(spark, sf):
+    """Two landed deliveries, promoted together: a third of the notices come again, longer
+    valid. Notices without a number drop out; what is not mutable stays as it came first."""
+    base = new_work_dir(spark, "stream")
+    for source, days, chosen in (("first", 0, "true"), ("second", 1, "notice_no % 3 = 0")):
+        records = notice_payloads(spark, sf, source, days, chosen)
+        key = envelope.notam_key(F.col("record"), F.col("queried_airport"))
+        sent = envelope.wrap(records, "record", envelope.NOTAM_PROVENANCE, key)
+        sent.select("value").write.mode("append").text(f"{base}/in")
+        stream = landing.landing_files(spark, f"{base}/in")
+        landing.drain(
+            landing.land(stream, envelope.NOTAM_PROVENANCE, f"{base}/raw", f"{base}/bad", f"{base}/cp1")
+        )
+    landing.drain(
+        promotion.promote(
+            spark, f"{base}/raw", promotion.NOTAMS, f"{base}/notices", f"{base}/cp2", ["batch_id", "arrival"]
+        )
+    )
+    return spark.read.parquet(f"{base}/notices").select(
+        "notam_number", "location_icao", "class", "start_utc", "end_utc", "condition_text", "queried_airport", "source"
+    )
+
+
 @query("stream_congestion", None, """
 SELECT event_type, epoch_us(date_trunc('hour', ts)) AS hour, count(*) AS flights FROM events GROUP BY 1, 2
 """)
