@@ -20,7 +20,7 @@ CHECKED = [
     "scalar_safe_casts", "scalar_time_features", "haversine_route", "trailing_route_stats", "congestion_arr_at_dep",
     "notam_interval_join", "flatten_json", "dedup_keep_last", "upsert_partial", "extract_plan", "rare_groups",
     "distance_bins", "crosstab_margins", "cardinality", "ks_drift", "tvd_shift", "chrono_split", "ts_cv_folds",
-    "threshold_sweep", "classifier_metrics", "top_factors", "search_contains",
+    "threshold_sweep", "classifier_metrics", "top_factors", "search_contains", "stream_notices", "gold_rebuild_window",
 ]
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
 
