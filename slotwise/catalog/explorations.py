@@ -178,13 +178,17 @@ def rates_up_to_limit(spark, sf):
 WITH x AS (SELECT unnest(['value', 'k', 'arr', 'dep']) AS feature,
   unnest([value, k::double, arr::double, dep::double]) AS v, (delay_min > 15)::int AS y, delay_min AS m
   FROM trips WHERE delay_min IS NOT NULL)
-SELECT feature, count(v) AS valid_rows, round(corr(v, y), 6) AS with_late, round(corr(v, m), 6) AS with_minutes
-FROM x WHERE v IS NOT NULL GROUP BY feature HAVING count(v) >= 20
+SELECT feature, valid_rows, round(with_late, 6) AS with_late, round(with_minutes, 6) AS with_minutes,
+  round(coalesce(top / 4000 * list_sum(list_transform(range(4000), lambda i: pow(cos(asin(abs(with_late)) + (i + 0.5) * top / 4000), valid_rows - 3)))
+    / (sqrt(pi()) / 2 * exp(lgamma((valid_rows - 2) / 2.0) - lgamma((valid_rows - 1) / 2.0))), 0.0), 6) AS with_late_p
+FROM (SELECT *, greatest(least(pi() / 2, 12 / sqrt(valid_rows - 3.0::double)) - asin(abs(with_late)), 0) AS top FROM (
+  SELECT feature, count(v) AS valid_rows, corr(v, y) AS with_late, corr(v, m) AS with_minutes
+  FROM x WHERE v IS NOT NULL GROUP BY feature HAVING count(v) >= 20) q) q
 """)
 def corr_target(spark, sf):
     rows = labelled(spark, sf)
     targets = {"with_late": F.col("late").cast("int"), "with_minutes": F.col("delay_min")}
-    return explore.correlations(rows, ["value", "k", "arr", "dep"], targets)
+    return explore.correlations(rows, ["value", "k", "arr", "dep"], targets, p_values=["with_late"])
 
 
 @query("corr_matrix", None, """
@@ -281,8 +285,11 @@ m AS (SELECT feature, avg(v) FILTER (split = 'train') AS ma, avg(v) FILTER (spli
   median(v) FILTER (split = 'train') AS da, median(v) FILTER (split = 'test') AS db,
   count(v) FILTER (split = 'train') AS na, count(v) FILTER (split = 'test') AS nb FROM x GROUP BY feature)
 SELECT m.feature, round(ma, 6) AS train_mean, round(mb, 6) AS test_mean, round(mb - ma, 6) AS mean_diff,
-  round(da, 6) AS train_median, round(db, 6) AS test_median, round(max(abs(fa - fb)), 6) AS ks_stat,
-  na AS train_rows, nb AS test_rows FROM m JOIN e ON e.feature = m.feature GROUP BY ALL
+  round(da, 6) AS train_median, round(db, 6) AS test_median, round(ks, 6) AS ks_stat,
+  round(CASE WHEN z < 0.05 THEN 1.0 ELSE least(1.0, greatest(0.0, list_sum(list_transform(range(1, 101),
+    lambda i: (CASE WHEN i % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0::double * i * i * z * z))))) END, 6) AS ks_p_value,
+  na AS train_rows, nb AS test_rows FROM (SELECT m.*, ks, sqrt(na * nb / (na + nb)::double) * ks AS z
+  FROM m JOIN (SELECT feature, max(abs(fa - fb)) AS ks FROM e GROUP BY 1) e ON e.feature = m.feature) q
 """)
 def ks_drift(spark, sf):
     return drift.numeric_drift(split_rows(spark, sf), ["value", "k", "arr"], "split", "train", "test")

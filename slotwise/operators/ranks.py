@@ -1,18 +1,15 @@
 """Ranks over a whole table without sorting it in one task.
 
-Everything here starts from counts per distinct value. Those are cut into
-buckets by fitted bounds, summed inside each bucket, and shifted by the totals of
-the buckets before it, so no window ever spans more than one bucket of values.
+Everything here starts from counts per distinct value. Those are written once in
+ranges of (groups, value), summed inside each range, and shifted by the totals of
+the ranges before it in the group, so no window spans more than one range of values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-
-def bucket_count(spark: SparkSession) -> int:
-    """Buckets per group: as many as there are shuffle tasks, within reason."""
-    return min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16), 256)
+from slotwise.session import persist_table
 
 
 def value_counts(df: DataFrame, groups: list[str], value: str, **sums: Column) -> DataFrame:
@@ -22,69 +19,35 @@ def value_counts(df: DataFrame, groups: list[str], value: str, **sums: Column) -
     )
 
 
-def fitted_bounds(counts: DataFrame, groups: list[str], value: str) -> dict[tuple, list[float]]:
-    """Approximate quantiles of the distinct values per group, read to the driver.
-
-    The bounds only balance the buckets, results do not depend on them. Groups are
-    features, splits or the like, so the driver gets a few hundred numbers for each.
-    """
-    buckets = bucket_count(counts.sparkSession)
-    probabilities = [i / buckets for i in range(1, buckets)]
-    fitted = counts.groupBy(*groups).agg(
-        F.percentile_approx(F.col(value).cast("double"), probabilities, 1000).alias("_b")
-    )
-    return {
-        tuple(row[g] for g in groups): sorted(set(row["_b"] or [])) for row in fitted.collect()
-    }
-
-
-def _bucket(groups: list[str], value: str, bounds: dict[tuple, list[float]]) -> Column:
-    def position(cuts: list[float]) -> Column:
-        if not cuts:
-            return F.lit(0)
-        cut_array = F.array(*[F.lit(float(b)) for b in cuts])
-        return F.size(F.filter(cut_array, lambda b: b <= F.col(value).cast("double")))
-
-    out = F.lit(0)
-    for key, cuts in bounds.items():
-        if not groups:
-            return position(cuts)
-        match = F.lit(True)
-        for name, part in zip(groups, key):
-            match = match & F.col(name).eqNullSafe(F.lit(part))
-        out = F.when(match, position(cuts)).otherwise(out)
-    return out
-
-
 def running_sums(
     counts: DataFrame, groups: list[str], value: str, measures: list[str]
 ) -> DataFrame:
     """Add ``cum_<m>`` and ``total_<m>``: inclusive sums in ascending value order.
 
-    ``counts`` has one row per (groups, value). ``total_<m>`` is the group total.
+    ``counts`` has one row per (groups, value), NULL first. ``total_<m>`` is the group
+    total. There are as many ranges as shuffle partitions, for any number of groups; a
+    group has one offset row per range it lies in, so those rows number at most groups
+    plus ranges. The written table fixes which range a row is in.
     """
-    bounds = fitted_bounds(counts, groups, value)
-    cut = counts.withColumn("_bucket", _bucket(groups, value, bounds))
-    # One row per bucket: at most 256 rows per group.
-    earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    ranged = counts.repartitionByRange(*groups, value).withColumn("_range", F.spark_partition_id())
+    ranged = persist_table(ranged, "ranked-counts")
     whole = Window.partitionBy(*groups)
-    sums = cut.groupBy(*groups, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
-    per_bucket = sums.select(
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*groups, "_range").agg(*[F.sum(m).alias(m) for m in measures])
+    offsets = sums.select(
         *[F.col(g).alias(f"_r_{g}") for g in groups],
-        F.col("_bucket").alias("_r_bucket"),
+        F.col("_range").alias("_r_range"),
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_offset_{m}") for m in measures],
         *[F.sum(m).over(whole).alias(f"total_{m}") for m in measures],
     )
-    inside = Window.partitionBy(*groups, "_bucket").orderBy(value).rowsBetween(
+    inside = Window.partitionBy(*groups, "_range").orderBy(value).rowsBetween(
         Window.unboundedPreceding, 0
     )
-    summed = cut.select("*", *[F.sum(m).over(inside).alias(f"_inside_{m}") for m in measures])
-    same = F.col("_bucket") == F.col("_r_bucket")
+    summed = ranged.select("*", *[F.sum(m).over(inside).alias(f"_inside_{m}") for m in measures])
+    same = F.col("_range") == F.col("_r_range")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_r_{g}"))
-    return summed.join(F.broadcast(per_bucket), same).select(
+    return summed.join(offsets, same).select(
         *counts.columns,
         *[(F.col(f"_inside_{m}") + F.col(f"_offset_{m}")).alias(f"cum_{m}") for m in measures],
         *[f"total_{m}" for m in measures],
@@ -143,30 +106,27 @@ def median(df: DataFrame, groups: list[str], value: str) -> DataFrame:
 def nth_keys(df: DataFrame, order: str, tie: str, positions: list[int]) -> list[tuple]:
     """The (order, tie) pairs at the given 0-based positions of the sorted table.
 
-    ``order`` and ``tie`` are long columns, together unique. First the order
-    value is found from counts per value, then the tie inside it.
+    ``order`` and ``tie`` are long columns, together unique. The order values of all
+    positions are found from counts per value, then all ties among the rows that have them.
     """
-    out = []
     ranked = running_sums(value_counts(df, [], order), [], order, ["n"])
     wanted = F.array(*[F.lit(int(p)).cast("long") for p in positions])
     hits = ranked.select(
-        order, "n", (F.col("cum_n") - F.col("n")).alias("first"), "cum_n", F.explode(wanted).alias("p")
+        order, (F.col("cum_n") - F.col("n")).alias("first"), "cum_n", F.explode(wanted).alias("p")
     ).where("p >= first and p < cum_n")
-    found = {row["p"]: (row[order], row["p"] - row["first"], row["n"]) for row in hits.collect()}
-    for p in positions:
-        if p not in found:
-            raise ValueError(f"position {p} is outside the table")
-        at, inner, ties = found[p]
-        same = df.where(F.col(order) == F.lit(at))
-        if ties == 1:
-            tie_value = same.agg(F.min(tie)).first()[0]
-        else:
-            inner_ranks = running_sums(value_counts(same, [], tie), [], tie, ["n"])
-            tie_value = inner_ranks.where(
-                (F.col("cum_n") > inner) & (F.col("cum_n") - F.col("n") <= inner)
-            ).first()[tie]
-        out.append((at, tie_value))
-    return out
+    found = {r["p"]: (r[order], r["p"] - r["first"]) for r in hits.collect()}
+    missing = [p for p in positions if p not in found]
+    if missing:
+        raise ValueError(f"positions outside the table: {missing}")
+    same = df.where(F.col(order).isin(sorted({at for at, _ in found.values()})))
+    inner = running_sums(value_counts(same, [order], tie), [order], tie, ["n"])
+    asked = F.lit(False)
+    for at, rank in set(found.values()):
+        here = (F.col("cum_n") > rank) & (F.col("cum_n") - F.col("n") <= rank)
+        asked = asked | ((F.col(order) == at) & here)
+    rows = inner.where(asked).select(order, tie, "cum_n", "n").collect()
+    ties = {(r[order], i): r[tie] for r in rows for i in range(r["cum_n"] - r["n"], r["cum_n"])}
+    return [(found[p][0], ties[found[p]]) for p in positions]
 
 
 def before_key(order: Column, tie: Column, key: tuple) -> Column:

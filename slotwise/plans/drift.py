@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from slotwise.operators.categories import category_counts
 from slotwise.operators.ranks import median, quantile_parts, running_sums
@@ -22,7 +20,7 @@ def _long(df: DataFrame, columns: list[str], split: str) -> DataFrame:
 
 
 def numeric_drift(df: DataFrame, columns: list[str], split: str, train: str, test: str) -> DataFrame:
-    """Means, medians and the two-sample Kolmogorov-Smirnov statistic per feature.
+    """Means, medians and the two-sample Kolmogorov-Smirnov test per feature.
 
     Both distribution functions come from one running sum over the counts of the
     distinct values. Features without values on either side drop out.
@@ -49,17 +47,23 @@ def numeric_drift(df: DataFrame, columns: list[str], split: str, train: str, tes
         "feature", "train_mean", "test_mean",
         (F.col("test_mean") - F.col("train_mean")).alias("mean_diff"),
         *[c for _, out in sides for c in out],
-        "ks_stat", "train_rows", "test_rows",
+        "ks_stat",
+        ks_p_value(F.col("ks_stat"), F.col("train_rows"), F.col("test_rows")).alias("ks_p_value"),
+        "train_rows", "test_rows",
     )
 
 
-def ks_p_value(statistic: float, n: int, m: int) -> float:
-    """Asymptotic two-sided p-value of a two-sample statistic (for reports only)."""
-    root = math.sqrt(n * m / (n + m)) * statistic
-    if root < 1e-9:
-        return 1.0
-    terms = (2 * (-1) ** (k - 1) * math.exp(-2 * k * k * root * root) for k in range(1, 101))
-    return min(1.0, max(0.0, sum(terms)))
+def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
+    """Asymptotic two-sided p-value of a two-sample statistic: the alternating series of
+    Kolmogorov's distribution, 1 where it has not converged because the statistic is tiny."""
+    root = F.sqrt(n * m / (n + m).cast("double")) * statistic
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(100)),
+        F.lit(0.0),
+        lambda total, k: total
+        + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * root * root),
+    )
+    return F.when(root < 0.05, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
 def _sides(df: DataFrame, columns: list[str], split: str, train: str, test: str) -> DataFrame:

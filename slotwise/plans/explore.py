@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slotwise.operators.categories import stacked
@@ -126,8 +128,30 @@ def flag_effect(df: DataFrame, flags: list[str], late: Column) -> DataFrame:
     )
 
 
-def correlations(df: DataFrame, features: list[str], targets: dict[str, Column], min_rows: int = 20) -> DataFrame:
-    """Pearson correlation of every feature with every target over complete pairs."""
+def correlation_p_value(r: Column, n: Column) -> Column:
+    """Two-sided p-value of a correlation of ``n`` pairs (point-biserial or Pearson) under
+    no correlation; NULL below three pairs.
+
+    With r = sin(a) the density is cos(a)^(n - 3), so the p-value is the share of its
+    integral beyond abs(r). Simpson's rule; beyond 12 standard deviations nothing is left.
+    """
+    power, steps = F.greatest(n - 3, F.lit(0)), 400
+    end = F.least(F.lit(math.pi / 2), F.try_divide(F.lit(12.0), F.sqrt(power)))
+
+    def integral(start: Column) -> Column:
+        width = F.greatest(end - start, F.lit(0.0)) / steps
+        weight = lambda i: F.when(i.isin(0, steps), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        add = lambda total, i: total + weight(i) * F.pow(F.cos(start + i * width), power)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(steps)), F.lit(0.0), add) * width / 3
+
+    return F.when(n > 2, integral(F.asin(F.abs(r))) / integral(F.lit(0.0)))
+
+
+def correlations(
+    df: DataFrame, features: list[str], targets: dict[str, Column], min_rows: int = 20, p_values: list[str] = ()
+) -> DataFrame:
+    """Pearson correlation of every feature with every target over complete pairs, with a
+    column ``<target>_p`` for the targets in ``p_values``; those must not be NULL."""
     aggregates = []
     for i, f in enumerate(features):
         x = F.col(f).cast("double")
@@ -144,7 +168,10 @@ def correlations(df: DataFrame, features: list[str], targets: dict[str, Column],
             for i, f in enumerate(features)
         ]
     )
-    return one.select(F.explode(rows).alias("_r")).select("_r.*").where(F.col("valid_rows") >= min_rows)
+    found = one.select(F.explode(rows).alias("_r")).select("_r.*").where(F.col("valid_rows") >= min_rows)
+    return found.withColumns(
+        {f"{name}_p": correlation_p_value(F.col(name), F.col("valid_rows")) for name in p_values}
+    )
 
 
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:

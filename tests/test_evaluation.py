@@ -139,7 +139,18 @@ def test_ks_is_symmetric_and_exact(spark):
     want = np.abs(np.searchsorted(np.sort(a), grid, "right") / 200 - np.searchsorted(np.sort(b), grid, "right") / 150).max()
     assert one["ks_stat"] == pytest.approx(want) == pytest.approx(two["ks_stat"])
     assert one["train_median"] == pytest.approx(np.median(a)) and one["test_mean"] == pytest.approx(np.mean(b))
-    assert drift.ks_p_value(0.0, 10, 10) == 1.0 and drift.ks_p_value(0.9, 100, 100) < 1e-6
+
+
+def test_p_values(spark):
+    rows = [(0.0, 10, 10), (0.9, 100, 100), (0.1923, 100, 100), (1.0, 0, 5)]
+    df = spark.createDataFrame(rows, "s double, n long, m long")
+    p = [r[0] for r in df.select(drift.ks_p_value(F.col("s"), F.col("n"), F.col("m"))).collect()]
+    assert p[0] == 1.0 and p[1] < 1e-6 and p[2] == pytest.approx(0.05, abs=2e-3)
+    # Tabled critical values of the correlation at 5 %, two-sided.
+    rows = [(0.57598, 12), (-0.19460, 102), (0.9969, 3), (0.0, 50), (0.5, 2), (0.3, 100000)]
+    df = spark.createDataFrame(rows, "r double, n long")
+    p = [r[0] for r in df.select(explore.correlation_p_value(F.col("r"), F.col("n"))).collect()]
+    assert p[:4] == pytest.approx([0.05, 0.05, 0.05, 1.0], abs=1e-3) and p[4] is None and p[5] == 0.0
 
 
 def test_category_shift(spark):

@@ -74,6 +74,19 @@ def test_running_sums(spark):
     assert {r["total_n"] for r in got} == {len(values)}
 
 
+def test_medians_of_thousands_of_groups(spark):
+    df = spark.range(40000).select(F.pmod("id", F.lit(5000)).alias("g"), F.hash("id").alias("v"))
+    got = {r["g"]: r["median"] for r in ranks.median(df, ["g"], "v").collect()}
+    want = df.toPandas().groupby("g")["v"].median()
+    assert got == want.to_dict()
+
+
+def test_running_sums_put_null_first(spark):
+    df = spark.createDataFrame([("a", None, 2), ("a", 3, 1), (None, 5, 4)], "g string, v int, n int")
+    got = {(r["g"], r["v"]): (r["cum_n"], r["total_n"]) for r in ranks.running_sums(df, ["g"], "v", ["n"]).collect()}
+    assert got == {("a", None): (2, 3), ("a", 3): (3, 3), (None, 5): (4, 4)}
+
+
 def test_nth_keys_with_ties(spark):
     data = [(10, i) for i in range(400)] + [(5, 1000 + i) for i in range(100)] + [(20, 2000)]
     random.seed(1)
