@@ -284,7 +284,7 @@ e AS (SELECT feature, sum(a) OVER w / sum(a) OVER p AS fa, sum(b) OVER w / sum(b
 m AS (SELECT feature, avg(v) FILTER (split = 'train') AS ma, avg(v) FILTER (split = 'test') AS mb,
   median(v) FILTER (split = 'train') AS da, median(v) FILTER (split = 'test') AS db,
   count(v) FILTER (split = 'train') AS na, count(v) FILTER (split = 'test') AS nb FROM x GROUP BY feature)
-SELECT m.feature, round(ma, 6) AS train_mean, round(mb, 6) AS test_mean, round(mb - ma, 6) AS mean_diff,
+SELECT feature, round(ma, 6) AS train_mean, round(mb, 6) AS test_mean, round(mb - ma, 6) AS mean_diff,
   round(da, 6) AS train_median, round(db, 6) AS test_median, round(ks, 6) AS ks_stat,
   round(CASE WHEN z < 0.05 THEN 1.0 ELSE least(1.0, greatest(0.0, list_sum(list_transform(range(1, 101),
     lambda i: (CASE WHEN i % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0::double * i * i * z * z))))) END, 6) AS ks_p_value,

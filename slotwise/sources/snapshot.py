@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from slotwise.functions.casts import blank_to_null
@@ -12,10 +14,22 @@ from slotwise.schemas import AIRPORT_CSV_COLUMNS
 def read_airport_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, empty text as NULL, tagged with the file name.
 
-    Columns are matched by header, other columns are ignored. The files of one read must
-    have the same header; one with another order of columns fails the read.
+    Columns are matched by the header of each file, other columns are ignored. Files with
+    the same header are read together; the driver only sees their names and headers.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    # The content column of this source is pruned, so files are listed, not read.
+    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    by_header: dict[tuple, list[str]] = {}
+    for file in files:
+        header = tuple(spark.read.option("header", True).csv(file).columns)
+        by_header.setdefault(header, []).append(file)
+    if not by_header:
+        raise ValueError(f"no airport snapshot at {path}")
+    parts = [_read_same_header(spark, header, group) for header, group in by_header.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_same_header(spark: SparkSession, header: tuple, files: list[str]) -> DataFrame:
     missing = [c for c in AIRPORT_CSV_COLUMNS if c not in header]
     if missing:
         raise ValueError(f"airport snapshot lacks columns: {missing}")
@@ -26,7 +40,7 @@ def read_airport_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", True)
-        .csv(path)
+        .csv(files)
     )
     file_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     return rows.select(

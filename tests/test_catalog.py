@@ -21,6 +21,8 @@ CHECKED = [
     "notam_interval_join", "flatten_json", "dedup_keep_last", "upsert_partial", "extract_plan", "rare_groups",
     "distance_bins", "crosstab_margins", "cardinality", "ks_drift", "tvd_shift", "chrono_split", "ts_cv_folds",
     "threshold_sweep", "classifier_metrics", "top_factors", "search_contains", "stream_notices", "gold_rebuild_window",
+    "corr_target", "airport_snapshots", "snapshot_columns", "keys_required", "keyset_page", "table_replaced", "training_sources",
+    "report_file", "target_words", "derived_defaults", "leakage_guard", "late_rows", "scored_answers",
 ]
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
 

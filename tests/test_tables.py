@@ -136,6 +136,23 @@ def test_airport_snapshot_is_loaded_once(spark, tmp_path):
     assert clean["CCC"]["elevation_ft"] == 7
 
 
+def test_snapshots_with_another_order_of_columns(spark, tmp_path):
+    names = CSV_HEADER.split(",")
+    (tmp_path / "a.csv").write_text(CSV_HEADER + "\n" + ",".join(f"{n}-a" for n in names) + "\n")
+    (tmp_path / "b.csv").write_text(",".join(names[::-1]) + "\n" + ",".join(f"{n}-b" for n in names[::-1]) + "\n")
+    rows = {r["source_file"]: r for r in snapshot.read_airport_csv(spark, str(tmp_path)).collect()}
+    for name in ("a", "b"):
+        assert rows[f"{name}.csv"]["iata_code"] == f"iata_code-{name}"
+        assert rows[f"{name}.csv"]["ourairports_id"] == f"id-{name}"
+
+
+def test_key_parts_stay_as_the_table_was_made(spark, tmp_path):
+    table = str(tmp_path / "notices")
+    assert promotion.key_parts(spark, table, 5) == 5
+    spark.range(3).selectExpr("id", "'1_of_5' AS key_part").write.partitionBy("key_part").parquet(table)
+    assert promotion.key_parts(spark, table, 99) == 5 and promotion.key_parts(spark, table) == 5
+
+
 def test_cursor(spark, tmp_path):
     state = str(tmp_path / "state")
     assert incremental.read_cursor(spark, state, "t") == 0
