@@ -310,31 +310,44 @@ def random_search(
 
 
 # ------------------------------------------------------ permutation importance
-def shuffle_column(rows: DataFrame, column: str, seed: int) -> DataFrame:
-    """Rows with one column permuted among them: both sides are numbered in an
-    order of their own and meet on the number."""
+def permuted_rows(rows: DataFrame, features: list[str], seed: int) -> DataFrame:
+    """Every row once per feature, named in ``_feature``, with that feature taken from
+    another row: both sides are numbered in an order of their own and meet on the number.
+
+    One permutation serves all features, since only one of them is replaced at a time;
+    rows are shuffled once, before they are multiplied. The number of partitions is given,
+    as adaptive execution would size them for the rows before that.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = rows.withColumn("_h", F.xxhash64("order", "tie", F.lit(2 * seed)))
     donors = rows.select(
-        F.col(column).alias("_new"), F.xxhash64("order", "tie", F.lit(2 * seed + 1)).alias("_h")
+        F.struct(*features).alias("_donor"), F.xxhash64("order", "tie", F.lit(2 * seed + 1)).alias("_h")
     )
-    left = dense_index(keyed, "_h", "_i").drop("_h", column)
-    right = dense_index(donors, "_h", "_i").drop("_h")
-    return left.join(right, "_i").withColumnRenamed("_new", column).select(rows.columns)
+    left = dense_index(keyed, "_h", "_i").drop("_h").repartition(parts, "_i")
+    right = dense_index(donors, "_h", "_i").drop("_h").repartition(parts, "_i")
+    paired = left.join(right, "_i").withColumn("_feature", F.explode(F.array(*map(F.lit, features))))
+    mixed = {
+        c: F.when(F.col("_feature") == c, F.col("_donor").getField(c)).otherwise(F.col(c)).alias(c)
+        for c in features
+    }
+    return paired.select("_feature", *[mixed.get(c, F.col(c)) for c in rows.columns])
 
 
 def permutation_importance(
     model: PipelineModel, rows: DataFrame, features: list[str], repeats: int = 5, seed: int = 42
 ) -> list[dict]:
-    """Loss of average precision when one feature is shuffled, largest first."""
+    """Loss of average precision when one feature is shuffled, largest first. Each repeat
+    scores all features in one pass."""
     base = ranking_metrics(with_probability(model, rows).select("y", "p")).first()["pr_auc"]
+    drops: dict[str, list[float]] = {f: [] for f in features}
+    for r in range(repeats):
+        shuffled = permuted_rows(rows, features, seed + r)
+        scored = with_probability(model, shuffled).select("_feature", "y", "p")
+        for row in ranking_metrics(scored, ["_feature"]).collect():
+            drops[row["_feature"]].append(base - row["pr_auc"])
     out = []
-    for feature in features:
-        drops = []
-        for r in range(repeats):
-            shuffled = shuffle_column(rows, feature, seed + r)
-            score = ranking_metrics(with_probability(model, shuffled).select("y", "p")).first()
-            drops.append(base - score["pr_auc"])
-        mean = sum(drops) / len(drops)
-        spread = (sum((d - mean) ** 2 for d in drops) / len(drops)) ** 0.5
+    for feature, lost in drops.items():
+        mean = sum(lost) / len(lost)
+        spread = (sum((d - mean) ** 2 for d in lost) / len(lost)) ** 0.5
         out.append({"feature": feature, "importance_mean": mean, "importance_std": spread})
     return sorted(out, key=lambda r: -r["importance_mean"])

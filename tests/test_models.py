@@ -70,13 +70,16 @@ def test_too_few_delayed_rows(fitted):
         models.delayed_rows(fitted[0], minimum=10_000)
 
 
-def test_shuffle_keeps_the_column_values(frame):
+def test_permuted_rows_change_one_feature_at_a_time(frame):
     rows = frame.rows
-    shuffled = models.shuffle_column(rows, "noise", 1)
-    assert sorted(r[0] for r in shuffled.select("noise").collect()) == sorted(r[0] for r in rows.select("noise").collect())
-    assert sorted(map(str, shuffled.drop("noise").collect())) == sorted(map(str, rows.drop("noise").collect()))
-    moved = shuffled.select("tie", F.col("noise").alias("n")).join(rows, "tie").where("n <> noise").count()
-    assert moved > 800
+    both = models.permuted_rows(rows, ["noise", "signal"], 1)
+    assert both.columns == ["_feature", *rows.columns]
+    for name in ("noise", "signal"):
+        shuffled = both.where(F.col("_feature") == name).drop("_feature")
+        assert sorted(map(str, shuffled.select(name).collect())) == sorted(map(str, rows.select(name).collect()))
+        assert sorted(map(str, shuffled.drop(name).collect())) == sorted(map(str, rows.drop(name).collect()))
+    moved = both.where("_feature = 'noise'").select("tie", F.col("noise").alias("n")).join(rows, "tie")
+    assert moved.where("n <> noise").count() > 800
 
 
 def test_permutation_importance_finds_the_signal(fitted):
