@@ -1,0 +1,51 @@
+import random
+
+from slotwise.llm.near_texts import keep_one_of_near
+
+from tests.llm.conftest import words
+from tests.llm.test_simhash_dedup import plain_roots
+
+
+def plain_shingles(text):
+    found = (text or "").lower().split()
+    size = min(5, len(found))
+    return {tuple(found[i : i + size]) for i in range(len(found) - size + 1)} if found else set()
+
+
+def similar(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+def test_components_agree_with_brute_force(make):
+    draw = random.Random(7)
+    rows = [(i, words(60, i)) for i in range(30)]
+    for i in range(80):
+        # One to eight changed words: similarities on both sides of 0.8, fingerprints many bits apart.
+        changed = words(150, 500 + i % 5).split()
+        for _ in range(draw.randrange(1, 9)):
+            changed[draw.randrange(150)] = f"new{draw.randrange(10**6)}"
+        rows.append((100 + i, " ".join(changed)))
+    rows += [(300, None), (301, " \n"), (302, "One"), (303, "one"), (304, "two words"), (304, "two  words"), (None, "two words"), (306, words(30_000, 9))]
+    sets = [plain_shingles(t) for _, t in rows]
+    roots = plain_roots(len(rows), lambda a, b: similar(sets[a], sets[b]))
+    least = {}
+    for (doc_id, _), root in zip(rows, roots):
+        least[root] = min(10**9 if doc_id is None else doc_id, least.get(root, 10**9))
+    docs = make(rows)
+    kept = keep_one_of_near(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
+    assert keep_one_of_near(make([])).count() == 0
+
+
+def test_stage_drops_similar_texts_of_far_fingerprints(spark, make):
+    import corpus_pipeline
+
+    text = words(60, 3).split()
+    other = [*text[:30], "changed", *text[31:]]
+    assert similar(plain_shingles(" ".join(text)), plain_shingles(" ".join(other)))
+    from slotwise.llm.simhash_dedup import fingerprint
+
+    assert (fingerprint(" ".join(text).encode()) ^ fingerprint(" ".join(other).encode())).bit_count() > 3
+    kept = corpus_pipeline.near_dedup(spark, make([(2, " ".join(other)), (1, " ".join(text)), (3, words(60, 4))]), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
