@@ -3,9 +3,9 @@
 Tokens become a template: numbers, names and units turn into typed placeholders. Windows
 of templates are hashed and joined with those of the benchmark. Where windows meet along
 one diagonal (document position less item position), the slots behind the placeholders are
-compared: one value of the item must stand for one value of the document and the other way
-round, kind by kind, else the diagonal is a chance match and is dropped. DataFrame
-operations only.
+compared: one value of the item must stand for one value of the document, kind by kind, else
+the windows that cover it are dropped, unless they match word for word. Several values of
+the item may stand for one of the document. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -116,10 +116,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     met = met.join(F.broadcast(parts) if small else parts, "hash")
     met = written(met.select(ROW, "item", "item_id", "size", "item_at", "doc_at"), "met-windows")
 
-    bad = inconsistent(slots(met, items, split))
-    good = met.withColumn("diagonal", F.col("doc_at") - F.col("item_at")).join(
-        bad, [ROW, "item", "diagonal"], "left_anti"
-    )
+    place = [ROW, "item", "diagonal"]
+    met = met.withColumn("diagonal", F.col("doc_at") - F.col("item_at"))
+    dropped = inconsistent(met, written(slots(met, items, split), "slots"))
+    good = met.join(dropped, [*place, "item_at"], "left_anti")
     total = parts.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows"))
     found = good.groupBy(ROW, "item", "item_id").agg(F.countDistinct("item_at").alias("n_matched"))
     found = found.join(total, "item").filter(F.col("n_matched") >= share * F.col("n_windows"))
@@ -127,28 +127,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
 
 
 def slots(met: DataFrame, items: DataFrame, split: DataFrame) -> DataFrame:
-    """Values behind equal placeholders: (_row, item, diagonal, kind, theirs, ours)."""
+    """Values behind equal placeholders: (_row, item, diagonal, item_token, kind, theirs, ours)."""
     theirs = items.select("item", F.posexplode("tokens").alias("item_token", "theirs"))
     theirs = theirs.withColumn("kind", kind(F.col("theirs"))).filter("kind IS NOT NULL")
     pairs = met.select(
-        ROW, "item", (F.col("doc_at") - F.col("item_at")).alias("diagonal"),
+        ROW, "item", "diagonal",
         F.explode(F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)).alias("item_token"),
     )
     pairs = pairs.join(theirs, ["item", "item_token"]).distinct()
     ours = split.join(pairs.select(ROW).distinct(), ROW, "left_semi")
     ours = ours.select(ROW, F.posexplode("tokens").alias("doc_token", "ours")).filter(kind(F.col("ours")).isNotNull())
     pairs = pairs.withColumn("doc_token", F.col("item_token") + F.col("diagonal"))
-    return pairs.join(ours, [ROW, "doc_token"]).select(ROW, "item", "diagonal", "kind", "theirs", "ours")
+    return pairs.join(ours, [ROW, "doc_token"]).select(
+        ROW, "item", "diagonal", "item_token", "kind", "theirs", "ours"
+    )
 
 
-def inconsistent(values: DataFrame) -> DataFrame:
-    """Diagonals on which a value of one side stands for several of the other."""
+def inconsistent(met: DataFrame, values: DataFrame) -> DataFrame:
+    """Windows (_row, item, diagonal, item_at) to drop: they cover a value of the item that
+    stands for several of the document on the diagonal, and do not match word for word."""
     place = [ROW, "item", "diagonal"]
-    several = [
-        values.groupBy(*place, "kind", a).agg(F.count_distinct(F.col(b)).alias("n")).filter("n > 1").select(*place)
-        for a, b in (("theirs", "ours"), ("ours", "theirs"))
-    ]
-    return several[0].unionByName(several[1]).distinct()
+    several = values.groupBy(*place, "kind", "theirs").agg(F.count_distinct("ours").alias("n")).filter("n > 1")
+    several = written(several.select(*place, "kind", "theirs"), "inconsistent-values")
+    diagonals = several.select(*place).distinct()
+    # Unlike slots of a consistent value matter too: a window that covers one is not verbatim.
+    marked = values.join(diagonals, place, "left_semi").join(several.withColumn("bad", F.lit(True)), [*place, "kind", "theirs"], "left")
+    marked = marked.select(*place, "item_token", F.coalesce("bad", F.lit(False)).alias("bad"), (F.col("theirs") != F.col("ours")).alias("other"))
+    covered = met.join(diagonals, place, "left_semi").select(
+        *place, "item_at", F.explode(F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)).alias("item_token")
+    )
+    covered = covered.join(marked, [*place, "item_token"]).groupBy(*place, "item_at")
+    return covered.agg(F.max("bad").alias("bad"), F.max("other").alias("other")).filter("bad AND other").select(*place, "item_at")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

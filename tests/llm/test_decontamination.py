@@ -53,3 +53,16 @@ def test_empty_tables(spark, make):
     assert found(docs, benchmark(spark, [])) == []
     assert found(make([]), benchmark(spark, [(1, QUESTION)])) == []
     assert clean_documents(docs, benchmark(spark, [])).count() == 1
+
+
+def test_one_edited_slot_drops_only_its_windows(spark, make):
+    head, tail = words(30, 21).replace("w", "q"), words(30, 22).replace("w", "z")
+    item = f"{head} 2 {tail} 2 more"
+    start, end = words(10, 23, 90).replace("w", "a"), words(10, 24, 90).replace("w", "b")
+    two = f"{start} 3 middle words come between here and there until now 5 {end}"
+    items = benchmark(spark, [(1, item), (2, two)])
+    rows = [(1, f"{head} 2 {tail} 7 more"), (2, f"{head} 7 {tail} 2 more"), (3, two.replace(" 3 ", " 4 ").replace(" 5 ", " 4 "))]
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_matched) for r in contaminated(make(rows), items).collect()}
+    # Lost are the windows over the edited number only: 2 in document 1, 8 in document 2.
+    assert set(got) == {(1, 1), (2, 1), (3, 2)}
+    assert got[1, 1] == (56, 54) and got[2, 1] == (56, 48) and got[3, 2][0] == got[3, 2][1]
