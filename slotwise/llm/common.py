@@ -47,18 +47,23 @@ def whole_text(name: str = "text") -> Column:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Add a row number that tells equal rows apart.
+    """Add a row number that tells equal rows apart, and write the rows with it.
 
-    The number follows the place of the row in the input files, so two scans of the
-    same files agree on it and a lost task computes it again. An input column of that
-    name is replaced.
+    The number depends on how a scan is split, and a later scan of the same files may be
+    split otherwise. So it is given once, and whatever needs the rows reads them from the
+    written table. An input column of that name is replaced.
     """
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-rows")
 
 
-def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """All columns of ``docs`` but the rows whose number is in ``dropped``."""
-    return numbered(docs).join(dropped.select(ROW), ROW, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+def with_text(rows: DataFrame) -> DataFrame:
+    """The columns (_row, doc_id, text) of numbered ``rows``; null text is empty."""
+    return rows.select(ROW, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+
+
+def without_rows(rows: DataFrame, dropped: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of the numbered ``rows`` but those whose number is in ``dropped``."""
+    return rows.join(dropped.select(ROW), ROW, "left_anti").select(*[f"`{c}`" for c in columns])
 
 
 def fold(modulus: int, name: str = "doc_id") -> Column:

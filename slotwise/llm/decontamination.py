@@ -103,11 +103,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     repeated items one. Rows of ``docs`` without doc_id are reported with a null. An empty
     table on either side gives no rows. Other columns are ignored.
     """
+    return _contaminated(numbered(docs.select("doc_id", whole_text().alias("text"))), benchmark, share)
+
+
+def _contaminated(rows: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     items, parts = item_windows(benchmark)
     items, parts = written(items, "benchmark-items"), written(parts, "benchmark-windows")
     sizes = sorted(r.size for r in parts.select("size").distinct().collect()) or [WINDOW]
-    rows = numbered(docs.select("doc_id", whole_text().alias("text")))
-    split = rows.select(ROW, "doc_id", tokens(F.col("text")).alias("tokens"))
+    split = rows.select(ROW, "doc_id", tokens(whole_text()).alias("tokens"))
     hashed = split.select(ROW, F.transform("tokens", lambda t: F.xxhash64(template(t))).alias("hashes"))
     # The position of a window in its document is its place among those of its size.
     met = hashed.select(ROW, F.explode(windows(F.col("hashes"), sizes)).alias("w"))
@@ -162,4 +165,5 @@ def inconsistent(met: DataFrame, values: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with all its columns, less the documents that hold a benchmark item."""
-    return without_rows(docs, contaminated(docs, benchmark).select(ROW).distinct())
+    rows = numbered(docs)
+    return without_rows(rows, _contaminated(rows, benchmark).select(ROW).distinct(), docs.columns)

@@ -48,11 +48,16 @@ def recipes(docs: DataFrame, bits: int = 64, least: int = LEAST, most: int = MOS
     # Hashes that name more than one chunk, with all their chunks: usually none.
     shared = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     shared = written(shared, "chunk-clashes")
+    clash = not shared.isEmpty()
+    if clash:
+        # Two scans are joined by number below: both read the written rows.
+        plain = written(plain, "numbered-texts")
+        cut = plain.select(ROW, chunks_of(F.col("plain"), least, most).alias("chunks"))
     base = plain.select(
         ROW, "doc_id", "n_points", F.sha2("plain", 256).alias("text_sha256"),
         F.transform(chunks_of(F.col("plain"), least, most), name).alias("names"),
     )
-    if shared.isEmpty():
+    if not clash:
         return base.withColumnRenamed("names", "recipe")
     # The ordinal of a chunk is its place among those of its hash.
     place = F.row_number().over(Window.partitionBy("h").orderBy("chunk")).cast("long")
@@ -82,8 +87,11 @@ def exact_dedup(docs: DataFrame, bits: int = 64, least: int = LEAST, most: int =
     kept even where rows repeat whole. keep_id is null only if that row has no doc_id.
     No rows give no rows. Other columns are ignored, whatever their names.
     """
-    rows = numbered(docs.select("doc_id", whole_text().alias("text")))
-    made = recipes(rows, bits, least, most).withColumn("h", F.xxhash64("recipe"))
+    return _groups(docs.withColumn(ROW, F.monotonically_increasing_id()), bits, least, most)
+
+
+def _groups(rows: DataFrame, bits: int = 64, least: int = LEAST, most: int = MOST) -> DataFrame:
+    made = recipes(rows.select(ROW, "doc_id", whole_text().alias("text")), bits, least, most).withColumn("h", F.xxhash64("recipe"))
     made = written(made, "recipes")
     order = F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW))
     best = made.groupBy("h", "recipe").agg(
@@ -99,4 +107,5 @@ def exact_dedup(docs: DataFrame, bits: int = 64, least: int = LEAST, most: int =
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with all its columns, less the rows that `exact_dedup` does not keep."""
-    return without_rows(docs, exact_dedup(docs).filter(~F.col("kept")))
+    rows = numbered(docs)
+    return without_rows(rows, _groups(rows).filter(~F.col("kept")), docs.columns)

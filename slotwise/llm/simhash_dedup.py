@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from slotwise.llm.common import ROW, numbered, pieces, whole_text, without_rows, written
+from slotwise.llm.common import ROW, numbered, pieces, with_text, without_rows, written
 from slotwise.llm.components import components
 
 WORDS = 3
@@ -169,8 +169,12 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     row of it has a doc_id; component_key, a fingerprint, tells components apart in any
     case. No rows give no rows. Other columns are ignored.
     """
-    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")))
-    fps = written(fingerprints(rows), "fingerprints")
+    # The fingerprints are written, and nothing goes back to the documents by number.
+    return _groups(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    fps = written(fingerprints(with_text(rows)), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
     roots = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
     nodes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -187,8 +191,9 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
     The row with the smallest doc_id stays (null last), of equal ones the first row.
     """
-    found = written(simhash_groups(docs), "simhash-groups")
+    rows = numbered(docs)
+    found = written(_groups(rows), "simhash-groups")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
     best = found.groupBy("component_key").agg(F.min_by(ROW, order).alias("keep"))
     dropped = found.join(best, "component_key").filter(F.col(ROW) != F.col("keep"))
-    return without_rows(docs, dropped)
+    return without_rows(rows, dropped, docs.columns)
