@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from slotwise.llm.common import pieces, whole_text
+from slotwise.llm.common import free_name, pieces, whole_text
 
 # A chunk ends where this many high bits of the rolling hash are ones, and has at least `LEAST` bytes.
 CHUNK_BITS = 10
@@ -217,10 +217,11 @@ def _brought_together(docs: DataFrame, bits: int, least: int) -> DataFrame:
                 data = text.encode()
                 ends = cuts(data, bits, least)
                 keys.append(min((_hash(data[a:b]) for a, b in zip([0, *ends], ends)), default=0))
-            yield batch.append_column("meet", pa.array(keys, pa.int64()))
+            yield batch.append_column(meet, pa.array(keys, pa.int64()))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", meet long"
-    return docs.mapInArrow(run, schema).hint("rebalance", "meet").drop("meet")
+    meet = free_name(docs.columns, "meet")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", {meet} long"
+    return docs.mapInArrow(run, schema).hint("rebalance", meet).drop(meet)
 
 
 def _hash(data: bytes) -> int:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterable
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -11,15 +13,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from slotwise.session import configure, persist_table
+from slotwise.session import configure, new_work_dir
 
 # The white space of all operators here: space, tab, line feed, VT, FF, carriage return.
 SPACE = r"[\x20\x09-\x0D]"
 ROW = "_row"
 
-written = persist_table
-
-
+_collecting: list[list[str]] = []
 _shipped: set[str] = set()
 BATCH_ROWS = 2048
 
@@ -37,6 +37,34 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; see ``collecting``."""
+    path = new_work_dir(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    for paths in _collecting:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def collecting():
+    """The paths of the tables that ``written`` makes inside, for ``discard`` later on."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete working tables. Whatever was planned from them must have been written before."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
@@ -46,13 +74,24 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores after it as make it no name among ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """Add a row number that tells equal rows apart, and write the rows with it.
 
     The number depends on how a scan is split, and a later scan of the same files may be
     split otherwise. So it is given once, and whatever needs the rows reads them from the
-    written table. An input column of that name is replaced.
+    written table. An input column of that name is kept under a free one, from where
+    ``without_rows`` takes it back.
     """
+    given = free_name(docs.columns, ROW)
+    docs = docs.toDF(*[given if c.lower() == ROW else c for c in docs.columns])
     return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-rows")
 
 
@@ -63,7 +102,9 @@ def with_text(rows: DataFrame) -> DataFrame:
 
 def without_rows(rows: DataFrame, dropped: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of the numbered ``rows`` but those whose number is in ``dropped``."""
-    return rows.join(dropped.select(ROW), ROW, "left_anti").select(*[f"`{c}`" for c in columns])
+    given = free_name(columns, ROW)
+    left = rows.join(dropped.select(ROW), ROW, "left_anti")
+    return left.select(*[F.col(f"`{given if c.lower() == ROW else c}`").alias(c) for c in columns])
 
 
 def fold(modulus: int, name: str = "doc_id") -> Column:

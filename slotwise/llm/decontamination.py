@@ -21,7 +21,8 @@ LEAST_TOKENS = 5
 LEAST_WORDS = 4
 # Share of an item's windows that must be met.
 SHARE = 0.3
-# Benchmark windows are broadcast up to this many (24 bytes each), beyond it shuffled.
+# Benchmark windows, and the numbers of documents that meet one, are broadcast up to this
+# many (24 and 8 bytes each), beyond it shuffled.
 BROADCAST_ROWS = 1_000_000
 
 # Words that the templates treat as units and as numbers.
@@ -110,7 +111,7 @@ def _contaminated(rows: DataFrame, benchmark: DataFrame, share: float = SHARE) -
     items, parts = item_windows(benchmark)
     items, parts = written(items, "benchmark-items"), written(parts, "benchmark-windows")
     sizes = sorted(r.size for r in parts.select("size").distinct().collect()) or [WINDOW]
-    split = rows.select(ROW, "doc_id", tokens(whole_text()).alias("tokens"))
+    split = rows.select(ROW, tokens(whole_text()).alias("tokens"))
     hashed = split.select(ROW, F.transform("tokens", lambda t: F.xxhash64(template(t))).alias("hashes"))
     # The position of a window in its document is its place among those of its size.
     met = hashed.select(ROW, F.explode(windows(F.col("hashes"), sizes)).alias("w"))
@@ -121,7 +122,11 @@ def _contaminated(rows: DataFrame, benchmark: DataFrame, share: float = SHARE) -
 
     place = [ROW, "item", "diagonal"]
     met = met.withColumn("diagonal", F.col("doc_at") - F.col("item_at"))
-    dropped = inconsistent(met, written(slots(met, items, split), "slots"))
+    # Only the few documents that meet a window are split again, and their texts not shuffled for it.
+    touched = written(met.select(ROW).distinct(), "met-rows")
+    touched = F.broadcast(touched) if touched.count() <= BROADCAST_ROWS else touched
+    again = rows.join(touched, ROW, "left_semi").select(ROW, tokens(whole_text()).alias("tokens"))
+    dropped = inconsistent(met, written(slots(met, items, again), "slots"))
     good = met.join(dropped, [*place, "item_at"], "left_anti")
     total = parts.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows"))
     found = good.groupBy(ROW, "item", "item_id").agg(F.countDistinct("item_at").alias("n_matched"))
@@ -138,8 +143,7 @@ def slots(met: DataFrame, items: DataFrame, split: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)).alias("item_token"),
     )
     pairs = pairs.join(theirs, ["item", "item_token"]).distinct()
-    ours = split.join(pairs.select(ROW).distinct(), ROW, "left_semi")
-    ours = ours.select(ROW, F.posexplode("tokens").alias("doc_token", "ours")).filter(kind(F.col("ours")).isNotNull())
+    ours = split.select(ROW, F.posexplode("tokens").alias("doc_token", "ours")).filter(kind(F.col("ours")).isNotNull())
     pairs = pairs.withColumn("doc_token", F.col("item_token") + F.col("diagonal"))
     return pairs.join(ours, [ROW, "doc_token"]).select(
         ROW, "item", "diagonal", "item_token", "kind", "theirs", "ours"
