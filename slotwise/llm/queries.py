@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from slotwise.llm.bpe import encode_documents
 from slotwise.llm.common import fold, ship, table
 from slotwise.llm.decontamination import contaminated
+from slotwise.llm.embedding_dedup import near_vectors
 from slotwise.llm.exact_dedup import exact_dedup
 from slotwise.llm.personal_data import find_personal_data
 from slotwise.llm.quality import score_quality
@@ -113,3 +114,22 @@ def op9_sparse_suffixes(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_simhash_dedup")
 def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_groups(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query(
+    "op13_embedding_dedup",
+    """
+    WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+    ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND list_dot_product(e, e) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e)
+        AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+    c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+    SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+    FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+    """,
+)
+def op13_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors(table(spark, sf, "embeddings"))

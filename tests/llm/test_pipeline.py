@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are
 
 def test_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in (*range(1, 11), 13)}
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -27,7 +27,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     df = QUERIES[name](spark, SF)
     cursor = con.execute(ORACLES[name])
