@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.llm.bpe import encode_documents
 from slotwise.llm.common import fold, ship, table
+from slotwise.llm.conversation_repair import damaged_and_repaired
 from slotwise.llm.decontamination import contaminated
 from slotwise.llm.embedding_dedup import near_vectors
 from slotwise.llm.exact_dedup import exact_dedup
@@ -133,3 +134,8 @@ def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op13_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return damaged_and_repaired(table(spark, sf, "conversations"))
