@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotwise.llm.bpe import encode_documents
 from slotwise.llm.common import fold, ship, table
 from slotwise.llm.conversation_repair import damaged_and_repaired
 from slotwise.llm.decontamination import contaminated
 from slotwise.llm.embedding_dedup import near_vectors
+from slotwise.llm.embedding_whitening import whiten
 from slotwise.llm.exact_dedup import exact_dedup
 from slotwise.llm.personal_data import find_personal_data
 from slotwise.llm.quality import score_quality
@@ -139,3 +140,9 @@ def op13_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_conversation_repair")
 def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     return damaged_and_repaired(table(spark, sf, "conversations"))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    rows = whiten(table(spark, sf, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
