@@ -1,4 +1,4 @@
-"""Two-stage delay models on ``pyspark.ml``."""
+"""Two-stage delay models: forests and boosting on the binned table, linear models on ``pyspark.ml``."""
 
 from __future__ import annotations
 
@@ -7,22 +7,24 @@ import random
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
     Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from slotwise.operators.categories import category_counts, most_frequent
 from slotwise.operators.ranks import dense_index, median
+from slotwise.plans.binned_trees import BinnedModel, Settings, Unit, bin_rows, fit_binning, fit_units, fold_scores
 from slotwise.plans.cleaning import FeatureSet
 from slotwise.plans.evaluate import (
     best_threshold, classifier_metrics, ranking_metrics, regression_metrics, threshold_sweep,
 )
 from slotwise.plans.splits import expanding_folds, positional_split
 from slotwise.schemas import DELAY_THRESHOLD_MINUTES, TARGET_CLASS, TARGET_MINUTES, TIME_COLUMN
+from slotwise.session import persist_table
 
 MIN_DELAYED_TRAIN_ROWS = 100
 
@@ -33,20 +35,30 @@ CLASSIFIER_DEFAULTS = {
 REGRESSOR_DEFAULTS = {
     "numTrees": 500, "maxDepth": 15, "minInstancesPerNode": 5, "featureSubsetStrategy": "log2", "seed": 42,
 }
-# Search spaces (fixed values).
+# The same models on the binned table (fixed values).
+CLASSIFIER = Settings("forest", "log", 500, depth=6, least_leaf=2, balanced=True)
+REGRESSOR = Settings("forest", "squared", 500, depth=15, least_leaf=5, least_split=5, features="log2")
+# Settings of the baselines and search spaces (fixed values).
+BASELINE_FOREST = {"kind": "forest", "trees": 300, "least_leaf": 2}
+BASELINE_BOOSTING = {"kind": "boosting", "trees": 200, "rate": 0.05, "leaves": 31, "least_leaf": 20}
 FOREST_SPACE = {
-    "numTrees": [200, 300, 500],
-    "maxDepth": [6, 10, 15, 20],
-    "minInstancesPerNode": [1, 2, 5, 10],
-    "featureSubsetStrategy": ["sqrt", "log2", "all"],
+    "trees": [200, 300, 500],
+    "depth": [None, 6, 10, 15, 20],
+    "least_leaf": [1, 2, 5, 10],
+    "least_split": [2, 5, 10],
+    "features": ["sqrt", "log2", "all"],
 }
-LOGISTIC_C = [10.0 ** (i * 5 / 11 - 3) for i in range(12)]
 BOOSTING_SPACE = {
-    "maxIter": [100, 200, 300],
-    "stepSize": [0.03, 0.05, 0.08, 0.10],
-    "maxDepth": [4, 5, 6],
-    "minInstancesPerNode": [10, 20, 50],
+    "trees": [100, 200, 300],
+    "rate": [0.03, 0.05, 0.08, 0.10],
+    "leaves": [15, 31, 63],
+    "least_leaf": [10, 20, 50],
+    "l2": [0.0, 0.01, 0.1, 1.0],
 }
+CLASS_WEIGHTS = {"balanced": [False, True]}
+LOGISTIC_C = [10.0 ** (i * 5 / 11 - 3) for i in range(12)]
+SEARCHED = {"classifier": 20, "regressor": 14}
+FOLDS = 4
 
 
 @dataclass
@@ -121,8 +133,28 @@ def preprocessing(frame: ModelFrame) -> list:
     return [*stages, VectorAssembler(inputCols=parts, outputCol="features")]
 
 
-def fit(frame: ModelFrame, estimator: Estimator) -> PipelineModel:
-    return Pipeline(stages=[*preprocessing(frame), estimator]).fit(frame.rows)
+Model = PipelineModel | BinnedModel
+
+
+def target_of(settings: Settings) -> str:
+    return "y" if settings.loss == "log" else "log_minutes"
+
+
+def fit(frame: ModelFrame, estimator: Estimator | Settings) -> Model:
+    return fit_all(frame, {"": estimator})[""]
+
+
+def fit_all(frame: ModelFrame, estimators: dict[str, Estimator | Settings]) -> dict[str, Model]:
+    """Fitted models by name; all trees come from one binned table and shared passes."""
+    found = {n: Pipeline(stages=[*preprocessing(frame), e]).fit(frame.rows) for n, e in estimators.items() if not isinstance(e, Settings)}
+    trees = {n: e for n, e in estimators.items() if isinstance(e, Settings)}
+    if trees:
+        binning = fit_binning(frame.rows, frame.numeric, frame.categorical)
+        for target in sorted({target_of(e) for e in trees.values()}):
+            names = [n for n, e in trees.items() if target_of(e) == target]
+            table = bin_rows(frame.rows, binning, target)
+            found |= dict(zip(names, fit_units(table, [Unit(trees[n]) for n in names])))
+    return {n: found[n] for n in estimators}
 
 
 def balanced(rows: DataFrame) -> DataFrame:
@@ -147,14 +179,19 @@ def forest_regressor(**params) -> RandomForestRegressor:
     )
 
 
-def with_probability(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def with_probability(model: Model, rows: DataFrame) -> DataFrame:
     """Scored rows with ``p``; working columns are dropped."""
+    if isinstance(model, BinnedModel):
+        return model.score(rows, "p")
     scored = model.transform(rows)
     return scored.select(*rows.columns, vector_to_array("probability")[1].alias("p"))
 
 
-def with_minutes(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def with_minutes(model: Model, rows: DataFrame) -> DataFrame:
     """Rows with ``pred_min``, back from the log scale and never negative."""
+    if isinstance(model, BinnedModel):
+        scored = model.score(rows, "pred_min")
+        return scored.withColumn("pred_min", F.greatest(F.expm1("pred_min"), F.lit(0.0)))
     scored = model.transform(rows)
     return scored.select(
         *rows.columns, F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("pred_min")
@@ -171,7 +208,7 @@ def delayed_rows(frame: ModelFrame, minimum: int = MIN_DELAYED_TRAIN_ROWS) -> Mo
     return frame.on(late)
 
 
-def tune_threshold(frame: ModelFrame, estimator: Estimator, **limits: float) -> tuple[dict, DataFrame]:
+def tune_threshold(frame: ModelFrame, estimator: Estimator | Settings, **limits: float) -> tuple[dict, DataFrame]:
     """Fit on the first 80 % of the rows, pick the threshold on the last 20 %."""
     early, late = positional_split(frame.rows, "order", "tie", 0.8)
     model = fit(frame.on(early), estimator)
@@ -189,41 +226,26 @@ def logistic_space(rows: int) -> dict[str, list]:
     return {"regParam": [logistic_penalty(c, rows) for c in LOGISTIC_C]}
 
 
-def baseline_classifiers(rows: int, small: dict | None = None) -> dict[str, Estimator]:
-    """Baseline estimators for that many training rows; ``small`` overrides tree counts
-    for quick runs."""
-    small = small or {}
+def baseline_classifiers(rows: int) -> dict[str, Estimator | Settings]:
+    """Baseline estimators for that many training rows."""
     return {
         "Logistic Regression": LogisticRegression(
-            labelCol="y", featuresCol="features", maxIter=small.get("maxIter", 3000),
-            regParam=logistic_penalty(1.0, rows), standardization=False,
-        ),
-        "Random Forest": RandomForestClassifier(
-            labelCol="y", featuresCol="features", numTrees=small.get("numTrees", 300),
-            maxDepth=small.get("maxDepth", 20), minInstancesPerNode=2, seed=42,
+            labelCol="y", featuresCol="features", maxIter=3000, regParam=logistic_penalty(1.0, rows), standardization=False,
         ),
-        "Gradient Boosting": GBTClassifier(
-            labelCol="y", featuresCol="features", maxIter=small.get("rounds", 200), stepSize=0.05, seed=42
-        ),
-    }
+        "Random Forest": Settings(loss="log", **BASELINE_FOREST, features="sqrt"),
+        "HistGradientBoosting": Settings(loss="log", **BASELINE_BOOSTING),
+    }
 
 
-def baseline_regressors(rows: int, small: dict | None = None) -> dict[str, Estimator]:
-    small = small or {}
+def baseline_regressors(rows: int) -> dict[str, Estimator | Settings]:
     return {
         "Ridge": LinearRegression(
             labelCol="log_minutes", featuresCol="features", regParam=1 / max(rows, 1),
             elasticNetParam=0.0, standardization=False,
         ),
-        "Random Forest Regressor": RandomForestRegressor(
-            labelCol="log_minutes", featuresCol="features", numTrees=small.get("numTrees", 300),
-            maxDepth=small.get("maxDepth", 20), minInstancesPerNode=2, featureSubsetStrategy="all", seed=42,
-        ),
-        "Gradient Boosting Regressor": GBTRegressor(
-            labelCol="log_minutes", featuresCol="features", maxIter=small.get("rounds", 200),
-            stepSize=0.05, seed=42,
-        ),
-    }
+        "Random Forest Regressor": Settings(loss="squared", **BASELINE_FOREST),
+        "HistGradientBoosting Regressor": Settings(loss="squared", **BASELINE_BOOSTING),
+    }
 
 
 def majority_scores(train: DataFrame, rows: DataFrame) -> DataFrame:
@@ -238,12 +260,12 @@ def median_minutes(train: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def compare_classifiers(
-    train: ModelFrame, test: DataFrame, estimators: dict[str, Estimator], stage: str, threshold: float = 0.5
+    train: ModelFrame, test: DataFrame, estimators: dict[str, Estimator | Settings], stage: str, threshold: float = 0.5
 ) -> DataFrame:
     """Metrics per model, best first by average precision, ROC-AUC and F1."""
     scored = {"Dummy most_frequent": majority_scores(train.rows, test)} if stage == "baseline" else {}
-    for name, estimator in estimators.items():
-        scored[name] = with_probability(fit(train, estimator), test)
+    for name, model in fit_all(train, estimators).items():
+        scored[name] = persist_table(with_probability(model, test).select("y", "p"), "scored")
     rows = [
         classifier_metrics(s.select("y", "p"), threshold).select(
             F.lit(name).alias("model"), F.lit(stage).alias("stage"), "*"
@@ -254,12 +276,12 @@ def compare_classifiers(
 
 
 def compare_regressors(
-    train: ModelFrame, test: DataFrame, estimators: dict[str, Estimator], stage: str
+    train: ModelFrame, test: DataFrame, estimators: dict[str, Estimator | Settings], stage: str
 ) -> DataFrame:
     """Metrics per regressor on late rows, best first by MAE and RMSE."""
     scored = {"Dummy median": median_minutes(train.rows, test)} if stage == "baseline" else {}
-    for name, estimator in estimators.items():
-        scored[name] = with_minutes(fit(train, estimator), test)
+    for name, model in fit_all(train, estimators).items():
+        scored[name] = persist_table(with_minutes(model, test).select("minutes", "pred_min"), "scored")
     rows = [
         regression_metrics(s.select("minutes", "pred_min")).select(
             F.lit(name).alias("model"), F.lit(stage).alias("stage"), "*"
@@ -309,6 +331,39 @@ def random_search(
     return sorted(results, key=lambda r: r["score"], reverse=kind == "classifier")
 
 
+def search_trees(
+    frame: ModelFrame, family: str, space: dict[str, list], n: int, target: str, folds: int = FOLDS, seed: int = 42
+) -> list[dict]:
+    """Mean validation score per setting over expanding time folds, best first, as
+    ``random_search`` gives it: average precision, or MAE in minutes.
+
+    Rows are binned once and the models of all settings and folds are fitted together.
+    Bounds of the bins come from all rows of ``frame``, the labels of a fold from none of it.
+    """
+    marked = persist_table(expanding_folds(frame.rows, "order", "tie", folds), "folds")
+    table = bin_rows(marked, fit_binning(marked, frame.numeric, frame.categorical), target, F.col("fold"))
+    settings = sample_settings(space, n, seed)
+    loss = "log" if target == "y" else "squared"
+    units = [Unit(Settings(family, loss, **s), fold) for s in settings for fold in range(1, folds + 1)]
+    scored = persist_table(fold_scores(table, units), "fold-scores")
+    if loss == "log":
+        found = ranking_metrics(scored, ["unit"]).select("unit", F.coalesce("pr_auc", F.lit(0.0)).alias("score"))
+    else:
+        error = F.abs(F.greatest(F.expm1("p"), F.lit(0.0)) - F.expm1("y"))
+        found = scored.groupBy("unit").agg(F.avg(error).alias("score"))
+    by_unit = {r["unit"]: r["score"] for r in found.collect()}
+    results = [
+        {**s, "score": sum(by_unit.get(k * folds + f, 0.0) for f in range(folds)) / folds} for k, s in enumerate(settings)
+    ]
+    return sorted(results, key=lambda r: r["score"], reverse=loss == "log")
+
+
+def refitted(frame: ModelFrame, family: str, target: str, results: list[dict]) -> BinnedModel:
+    """The best setting of a search, fitted to all rows of ``frame``."""
+    best = {k: v for k, v in results[0].items() if k != "score"}
+    return fit(frame, Settings(family, "log" if target == "y" else "squared", **best))
+
+
 # ------------------------------------------------------ permutation importance
 def permuted_rows(rows: DataFrame, features: list[str], seed: int) -> DataFrame:
     """Every row once per feature, named in ``_feature``, with that feature taken from
@@ -334,7 +389,7 @@ def permuted_rows(rows: DataFrame, features: list[str], seed: int) -> DataFrame:
 
 
 def permutation_importance(
-    model: PipelineModel, rows: DataFrame, features: list[str], repeats: int = 5, seed: int = 42
+    model: Model, rows: DataFrame, features: list[str], repeats: int = 5, seed: int = 42
 ) -> list[dict]:
     """Loss of average precision when one feature is shuffled, largest first. Each repeat
     scores all features in one pass."""

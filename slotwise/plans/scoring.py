@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from slotwise.functions.rules import error_type, risk_band, top_factors, two_stage_minutes
@@ -13,7 +12,7 @@ from slotwise.plans.cleaning import DROPPED_COLUMNS, derive, without_leakage
 from slotwise.plans.gold import (
     CELL_KEYS, GoldOptions, add_calendar, add_route, cell_counts, cell_features, enrich_airports, notice_columns,
 )
-from slotwise.plans.models import with_minutes, with_probability
+from slotwise.plans.models import Model, with_minutes, with_probability
 from slotwise.plans.silver import flatten_flights
 from slotwise.schemas import FLIGHT_KEY, RARE_MIN_COUNTS
 from slotwise.session import persist_table
@@ -72,9 +71,9 @@ def answers(scored: DataFrame, threshold: float, kinds: dict[str, str]) -> DataF
 def score(
     rows: DataFrame,
     expected: dict[str, str],
-    classifier: PipelineModel,
+    classifier: Model,
     threshold: float,
-    regressor: PipelineModel | None = None,
+    regressor: Model | None = None,
     carry: list[str] = (),
 ) -> DataFrame:
     """Score any number of rows with one or both stages."""

@@ -1,13 +1,18 @@
 """Properties of the fitted models on a small planted signal."""
 
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from slotwise.plans import cleaning, models, scoring
+from slotwise.plans.binned_trees import BinnedModel, Settings, Unit, bin_rows, fit_binning, fit_units
+from slotwise.plans.evaluate import ranking_metrics
+from slotwise.plans.splits import expanding_folds
 
 SMALL = {"numTrees": 8, "maxDepth": 4}
 
@@ -90,15 +95,42 @@ def test_permutation_importance_finds_the_signal(fitted):
 
 def test_baselines_beat_the_majority(fitted):
     train, _ = fitted
-    estimators = models.baseline_classifiers(200, {"maxIter": 10, "numTrees": 5, "maxDepth": 3, "rounds": 2})
-    rows = models.compare_classifiers(train, train.rows, {"Random Forest": estimators["Random Forest"]}, "baseline").collect()
-    assert [r["model"] for r in rows] == ["Random Forest", "Dummy most_frequent"]
-    assert rows[1]["roc_auc"] == pytest.approx(0.5)
+    estimators = models.baseline_classifiers(200)
+    trees = {n: replace(e, trees=20) for n, e in estimators.items() if isinstance(e, Settings)}
+    rows = models.compare_classifiers(train, train.rows, trees, "baseline").collect()
+    assert {r["model"] for r in rows[:2]} == {"Random Forest", "HistGradientBoosting"} and rows[2]["model"] == "Dummy most_frequent"
+    assert rows[2]["roc_auc"] == pytest.approx(0.5) and rows[1]["roc_auc"] > 0.85
 
 
 def test_random_search_is_seeded(fitted):
     assert models.sample_settings(models.FOREST_SPACE, 5) == models.sample_settings(models.FOREST_SPACE, 5)
+    linear = lambda **s: LinearRegression(labelCol="log_minutes", featuresCol="features", maxIter=5, **s)
     found = models.random_search(
-        models.delayed_rows(fitted[0]), models.forest_regressor, {"numTrees": [3], "maxDepth": [2, 3]}, 2, "regressor", folds=2
+        models.delayed_rows(fitted[0]), linear, {"regParam": [0.1, 0.5]}, 2, "regressor", folds=2
     )
     assert len(found) == 2 and found[0]["score"] <= found[1]["score"]
+
+
+def test_tree_search_scores_each_fold_with_models_of_earlier_rows(fitted, tmp_path, spark):
+    train = fitted[0]
+    space = {"trees": [5], "depth": [1, 4], "balanced": [False, True]}
+    found = models.search_trees(train, "forest", space, 4, "y", folds=2)
+    assert len(found) == 4 and found == models.search_trees(train, "forest", space, 4, "y", folds=2)
+    assert found[0]["score"] >= found[-1]["score"] and found[0]["score"] > 0.8
+    # One setting by hand: a fit on the earlier folds, average precision on the fold.
+    marked = expanding_folds(train.rows, "order", "tie", 2)
+    binning = fit_binning(marked, train.numeric, train.categorical)
+    scores = []
+    for fold in (1, 2):
+        table = bin_rows(marked.where(F.col("fold") < fold), binning, "y")
+        model = fit_units(table, [Unit(Settings("forest", "log", 5, depth=4, balanced=True))])[0]
+        scored = model.score(marked.where(F.col("fold") == fold), "p")
+        scores.append(ranking_metrics(scored.select("y", "p")).first()["pr_auc"])
+    mine = next(r["score"] for r in found if r["depth"] == 4 and r["balanced"])
+    assert mine == pytest.approx(sum(scores) / 2, abs=1e-6)
+    minutes = models.search_trees(models.delayed_rows(train), "boosting", {"trees": [5], "rate": [0.1, 0.3], "leaves": [4]}, 2, "log_minutes", folds=2)
+    assert [r["rate"] for r in minutes] and minutes[0]["score"] <= minutes[1]["score"] < 60
+    best = models.refitted(train, "forest", "y", found)
+    best.save(spark, str(tmp_path / "best"))
+    again = BinnedModel.load(spark, str(tmp_path / "best"))
+    assert [r.p for r in again.score(train.rows, "p").collect()] == [r.p for r in best.score(train.rows, "p").collect()]
