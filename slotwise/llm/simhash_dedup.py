@@ -156,6 +156,8 @@ def links(fps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"a": [x for x, _ in found], "b": [y for _, y in found]}, schema)
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    # A fingerprint is in 56 lists: the few partitions of a small table would each make very many rows.
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     lists = _lists(fps).groupBy("positions", "bytes").agg(F.collect_list("fp").alias("fps"))
     return lists.filter(F.size("fps") > 1).select("positions", "fps").mapInArrow(run, "a long, b long").distinct()
 
