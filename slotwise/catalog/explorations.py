@@ -179,7 +179,7 @@ WITH x AS (SELECT unnest(['value', 'k', 'arr', 'dep']) AS feature,
   unnest([value, k::double, arr::double, dep::double]) AS v, (delay_min > 15)::int AS y, delay_min AS m
   FROM trips WHERE delay_min IS NOT NULL)
 SELECT feature, valid_rows, round(with_late, 6) AS with_late, round(with_minutes, 6) AS with_minutes,
-  round(coalesce(top / 4000 * list_sum(list_transform(range(4000), lambda i: pow(cos(asin(abs(with_late)) + (i + 0.5) * top / 4000), valid_rows - 3)))
+  round(coalesce(top / 40000 * list_sum(list_transform(range(40000), lambda i: pow(cos(asin(abs(with_late)) + (i + 0.5) * top / 40000), valid_rows - 3)))
     / (sqrt(pi()) / 2 * exp(lgamma((valid_rows - 2) / 2.0) - lgamma((valid_rows - 1) / 2.0))), 0.0), 6) AS with_late_p
 FROM (SELECT *, greatest(least(pi() / 2, 12 / sqrt(valid_rows - 3.0::double)) - asin(abs(with_late)), 0) AS top FROM (
   SELECT feature, count(v) AS valid_rows, corr(v, y) AS with_late, corr(v, m) AS with_minutes

@@ -18,7 +18,7 @@ from slotwise.plans.explore import missing_profile
 from slotwise.plans.gold import airport_role, enrich_airports
 from slotwise.schemas import DELAY_THRESHOLD_MINUTES
 from slotwise.session import new_work_dir, persist_table
-from slotwise.sources import envelope, incremental, snapshot, worklist
+from slotwise.sources import committed, envelope, incremental, snapshot, worklist
 from slotwise.streaming import congestion, landing, promotion
 
 REGISTRY = Registry()
@@ -224,6 +224,31 @@ def incremental_scan(spark, sf):
     return fresh.groupBy("dep").agg(F.count(F.lit(1)).alias("fresh"), F.max("event_id").alias("last_id"))
 
 
+@query("committed_runs", ["trips"], """
+SELECT v AS version, max(event_id) AS position, count(*) AS rows, count(DISTINCT event_id) AS ids, sum(delay_min) AS delays FROM trips
+JOIN (SELECT 1 AS v, timestamp '2024-01-10' AS till UNION ALL SELECT 2, timestamp '2024-01-20' UNION ALL SELECT 3, timestamp '9999-01-01') w
+  ON event_id <= (SELECT max(event_id) FROM trips WHERE dep_ts < till) GROUP BY v
+""")
+def committed_runs(spark, sf):
+    """Three incremental runs, the second of them twice since its first attempt is not published."""
+    trips = view(spark, sf, "trips")
+    target = committed.CommittedTable(spark, new_work_dir(spark, "committed"))
+    for till in ("2024-01-10", "2024-01-20", "9999-01-01"):
+        last = trips.where(F.col("dep_ts") < F.lit(till).cast("timestamp")).agg(F.max("event_id")).first()[0]
+        known = trips.where(F.col("event_id") <= last)
+        if till == "2024-01-20":
+            target._write_rows(known)  # a run that ends before it publishes
+        target.advance(known, "event_id")
+    found = [
+        target.read(v).select(F.lit(v.number).cast("int").alias("version"), F.lit(v.position).cast("long").alias("position"), "event_id", "delay_min")
+        for v in map(target.version, (1, 2, 3))
+    ]
+    both = found[0].unionByName(found[1]).unionByName(found[2])
+    return both.groupBy("version", "position").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("ids"), F.sum("delay_min").alias("delays")
+    )
+
+
 @query("window_scans", ["flights", "notices"], """
 SELECT 'flights' AS source, count(*) AS n FROM flights
   WHERE dep_scheduled_utc >= timestamp '2024-01-10' AND dep_scheduled_utc < timestamp '2024-01-17'

@@ -24,9 +24,9 @@ def advance_cursor(spark: SparkSession, state: str, table_name: str, last_id: in
     ).write.mode("append").parquet(state)
 
 
-def rows_after(table: DataFrame, id_col: str, last_id: int, limit: int | None = None) -> DataFrame:
-    """Rows past a position; a bounded chunk only on request."""
-    fresh = table.where(F.col(id_col) > last_id)
+def rows_after(table: DataFrame, id_col: str, last_id: int | None, limit: int | None = None) -> DataFrame:
+    """Rows past a position, all rows if there is none; a bounded chunk only on request."""
+    fresh = table if last_id is None else table.where(F.col(id_col) > last_id)
     return fresh if limit is None else fresh.orderBy(id_col).limit(limit)
 
 
