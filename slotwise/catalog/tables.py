@@ -225,7 +225,8 @@ def incremental_scan(spark, sf):
 
 
 @query("committed_runs", ["trips"], """
-SELECT v AS version, max(event_id) AS position, count(*) AS rows, count(DISTINCT event_id) AS ids, sum(delay_min) AS delays FROM trips
+SELECT cast(v AS bigint) AS version, max(event_id) AS position, count(*) AS rows, count(DISTINCT event_id) AS ids,
+  cast(sum(delay_min) AS bigint) AS delays FROM trips
 JOIN (SELECT 1 AS v, timestamp '2024-01-10' AS till UNION ALL SELECT 2, timestamp '2024-01-20' UNION ALL SELECT 3, timestamp '9999-01-01') w
   ON event_id <= (SELECT max(event_id) FROM trips WHERE dep_ts < till) GROUP BY v
 """)
@@ -240,7 +241,7 @@ def committed_runs(spark, sf):
             target._write_rows(known)  # a run that ends before it publishes
         target.advance(known, "event_id")
     found = [
-        target.read(v).select(F.lit(v.number).cast("int").alias("version"), F.lit(v.position).cast("long").alias("position"), "event_id", "delay_min")
+        target.read(v).select(F.lit(v.number).cast("long").alias("version"), F.lit(v.position).cast("long").alias("position"), "event_id", "delay_min")
         for v in map(target.version, (1, 2, 3))
     ]
     both = found[0].unionByName(found[1]).unionByName(found[2])
