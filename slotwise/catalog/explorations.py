@@ -295,6 +295,30 @@ def ks_drift(spark, sf):
     return drift.numeric_drift(split_rows(spark, sf), ["value", "k", "arr"], "split", "train", "test")
 
 
+@query("ks_by_route", ["trips"], f"""
+WITH {SPLIT},
+c AS (SELECT dep, arr, delay_min AS v, count(*) FILTER (split = 'train') AS a, count(*) FILTER (split = 'test') AS b FROM s GROUP BY ALL),
+e AS (SELECT dep, arr, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER p AS n, sum(b) OVER p AS m FROM c
+  WINDOW w AS (PARTITION BY dep, arr ORDER BY v), p AS (PARTITION BY dep, arr)),
+g AS (SELECT dep, arr, n::bigint AS n, m::bigint AS m, max(abs(ca / n - cb / m)) AS ks FROM e WHERE n > 0 AND m > 0 GROUP BY ALL),
+k AS (SELECT *, round(ks * n * m)::bigint AS h FROM g WHERE greatest(n, m) <= 100),
+r AS (WITH RECURSIVE q AS (SELECT dep, arr, n, m, h, 0::bigint AS i, list_transform(range(m + 1), lambda j: CASE WHEN j * n < h THEN 1.0::double ELSE 0.0::double END) AS row FROM k
+  UNION ALL SELECT dep, arr, n, m, h, i + 1, list_transform(range(m + 1), lambda j: CASE WHEN abs((i + 1) * m - j * n) < h
+    THEN coalesce(list_sum(row[greatest(0, floor(((i + 1) * m - h) / n)::bigint + 1) + 1 : j + 1]), 0.0)::double ELSE 0.0::double END) FROM q WHERE i < n)
+  SELECT * FROM q WHERE i = n),
+z AS (SELECT *, sqrt(n * m / (n + m)::double) * ks AS z FROM g)
+SELECT z.dep::bigint AS dep, z.arr::bigint AS arr, round(z.ks, 6) AS ks_stat, round(CASE WHEN r.n IS NOT NULL THEN greatest(0.0,
+    1 - r.row[-1] / list_product(list_transform(range(1, z.n + 1), lambda i: (z.m + i)::double / i)))
+  WHEN z < 0.05 THEN 1.0 ELSE least(1.0, greatest(0.0, list_sum(list_transform(range(1, 101),
+    lambda i: (CASE WHEN i % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0::double * i * i * z * z))))) END, 6) AS ks_p_value,
+  z.n AS train_rows, z.m AS test_rows, (r.n IS NOT NULL)::int::bigint AS exact
+FROM z LEFT JOIN r ON r.dep = z.dep AND r.arr IS NOT DISTINCT FROM z.arr
+""")
+def ks_by_route(spark, sf):
+    """Whether delays of a route differ between the periods, exact for small routes."""
+    return drift.ks_by_group(split_rows(spark, sf), ["dep", "arr"], "delay_min", "split", "train", "test")
+
+
 @query("tvd_shift", ["trips"], f"""
 WITH {SPLIT}, x AS (SELECT split, unnest(['carrier', 'arr', 'event_day']) AS feature,
   unnest([carrier, arr::varchar, dep_ts::date::varchar]) AS v FROM s),

@@ -8,6 +8,10 @@ from slotwise.operators.categories import category_counts
 from slotwise.operators.ranks import median, quantile_parts, running_sums
 
 
+# Sides up to this many rows get the exact p-value; its work grows with rows times other rows squared.
+EXACT_ROWS = 100
+
+
 def _long(df: DataFrame, columns: list[str], split: str) -> DataFrame:
     pairs = F.array(
         *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
@@ -66,6 +70,55 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(root < 0.05, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
+def exact_ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
+    """Exact two-sided p-value of a two-sample statistic, for samples without ties.
+
+    Every order of n and m values is a path over a lattice of n by m, equally likely without a
+    difference, and its statistic is the largest distance from the diagonal. So the paths
+    that stay nearer than the statistic are counted line by line: a point is reached from
+    the points before it in its line that are near enough, and those of the line before.
+    """
+    n, m = n.cast("long"), m.cast("long")
+    bound = F.round(statistic * n * m).cast("long")
+
+    def near(i: Column, j: Column) -> Column:
+        return F.abs(i * m - j * n) < bound
+
+    line = F.sequence(F.lit(0).cast("long"), m)
+    first = F.transform(line, lambda j: F.when(near(F.lit(0).cast("long"), j), 1.0).otherwise(0.0))
+
+    def after(before: Column, i: Column) -> Column:
+        start = F.greatest(F.lit(0).cast("long"), F.floor((i * m - bound) / n) + 1)
+        ways = lambda j: F.aggregate(F.slice(before, (start + 1).cast("int"), (j - start + 1).cast("int")), F.lit(0.0), lambda a, x: a + x)
+        return F.transform(line, lambda j: F.when(near(i, j), ways(j)).otherwise(0.0))
+
+    ways = F.element_at(F.aggregate(F.sequence(F.lit(1).cast("long"), n), first, after), -1)
+    every = F.aggregate(F.sequence(F.lit(1).cast("long"), n), F.lit(1.0), lambda a, i: a * (m + i) / i)
+    return F.greatest(F.lit(0.0), 1 - ways / every)
+
+
+def ks_by_group(
+    df: DataFrame, groups: list[str], value: str, split: str, train: str, test: str, exact_rows: int = EXACT_ROWS
+) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov test of ``value`` per group: ks_stat, ks_p_value, train_rows,
+    test_rows, exact. The p-value is exact where neither side has more than ``exact_rows``
+    rows, else asymptotic. Groups with an empty side drop out."""
+    is_train, is_test = F.col(split) == train, F.col(split) == test
+    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("value")).agg(
+        F.count_if(is_train).alias("train"), F.count_if(is_test).alias("test")
+    )
+    ranked = running_sums(counts, groups, "value", ["train", "test"]).where("total_train > 0 AND total_test > 0")
+    gap = F.abs(F.col("cum_train") / F.col("total_train") - F.col("cum_test") / F.col("total_test"))
+    found = ranked.groupBy(*groups).agg(F.max(gap).alias("ks_stat"), F.sum("train").alias("train_rows"), F.sum("test").alias("test_rows"))
+    exact = F.greatest("train_rows", "test_rows") <= exact_rows
+    sides = F.col("ks_stat"), F.col("train_rows"), F.col("test_rows")
+    # Sides beyond the bound count as one row in the branch that is not taken.
+    small = [F.when(exact, c).otherwise(F.lit(1).cast("long")) for c in sides[1:]]
+    p = F.when(exact, exact_ks_p_value(sides[0], *small)).otherwise(ks_p_value(*sides))
+    return found.select(*groups, "ks_stat", p.alias("ks_p_value"), "train_rows", "test_rows", exact.alias("exact"))
+
+
+
 def _sides(df: DataFrame, columns: list[str], split: str, train: str, test: str) -> DataFrame:
     """Shares of every category on both sides; 0 where a side lacks it."""
     counts = category_counts(df, columns, [split])

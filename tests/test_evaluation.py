@@ -1,5 +1,6 @@
 """Splits, metrics, drift and search against direct formulas."""
 
+import itertools
 import random
 
 import numpy as np
@@ -141,6 +142,34 @@ def test_ks_is_symmetric_and_exact(spark):
     assert one["train_median"] == pytest.approx(np.median(a)) and one["test_mean"] == pytest.approx(np.mean(b))
 
 
+def test_exact_ks_p_value_equals_enumeration(spark):
+    def enumerated(d, n, m):
+        """Share of all orders of n and m values whose statistic is at least ``d``."""
+        hits = total = 0
+        for chosen in itertools.combinations(range(n + m), n):
+            x = y = most = 0
+            for k in range(n + m):
+                x, y = (x + 1, y) if k in chosen else (x, y + 1)
+                most = max(most, abs(x * m - y * n))
+            total, hits = total + 1, hits + (most >= round(d * n * m))
+        return hits / total
+
+    rows = [(abs(x / n - y / m), n, m) for n, m in ((1, 1), (3, 3), (2, 5), (6, 4), (5, 7)) for x in range(n + 1) for y in range(m + 1)]
+    df = spark.createDataFrame(rows, "s double, n long, m long")
+    got = [r[0] for r in df.select(drift.exact_ks_p_value(F.col("s"), F.col("n"), F.col("m"))).collect()]
+    assert got == pytest.approx([enumerated(*r) for r in rows], abs=1e-12)
+
+
+def test_ks_by_group_takes_the_exact_value_up_to_its_bound(spark):
+    rows = [("a", s, float(v)) for s, vs in (("train", [1, 2, 3, 4]), ("test", [3.5, 5, 6])) for v in vs]
+    rows += [("b", "train", float(i)) for i in range(9)] + [("b", "test", i + 0.5) for i in range(4)] + [("c", "train", 1.0), (None, "train", 1.0), (None, "test", 2.0)]
+    df = spark.createDataFrame(rows, "g string, split string, v double")
+    got = {r["g"]: r for r in drift.ks_by_group(df, ["g"], "v", "split", "train", "test", exact_rows=5).collect()}
+    assert set(got) == {"a", "b", None} and [got[g]["exact"] for g in ("a", "b", None)] == [True, False, True]
+    assert got["a"]["ks_stat"] == 0.75 and got["a"]["ks_p_value"] == pytest.approx(8 / 35)
+    assert (got["b"]["train_rows"], got["b"]["test_rows"], got[None]["ks_p_value"]) == (9, 4, 1.0)
+
+
 def test_p_values(spark):
     rows = [(0.0, 10, 10), (0.9, 100, 100), (0.1923, 100, 100), (1.0, 0, 5)]
     df = spark.createDataFrame(rows, "s double, n long, m long")
