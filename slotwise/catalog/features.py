@@ -12,8 +12,9 @@ from slotwise.catalog.views import (
 )
 from slotwise.functions import casts, geo, rules, times
 from slotwise.operators.attach import attach
-from slotwise.operators.trailing import trailing_stats
-from slotwise.plans import gold
+from slotwise.operators.trailing import TOTALS, trailing_stats
+from slotwise.plans import gold, history
+from slotwise.schemas import GOLD_REGISTRY
 from slotwise.session import new_work_dir
 
 OPTIONS = gold.GoldOptions(monitored=tuple(MONITORED))
@@ -458,6 +459,41 @@ def gold_rebuild_window(spark, sf):
     )
 
 
+@query("gold_maintained", ["flights", "notices", "airports"], GOLD_SQL + "SELECT * FROM gold")
+def gold_maintained(spark, sf):
+    """All flights come with a third of the last ten days' delays wrong; gold is built from the
+    kept sums, the corrections follow as a second batch, and the days they reach are rebuilt."""
+    base = new_work_dir(spark, "history")
+    flights = silver_flights(spark, sf)
+    _, end = departure_range(flights)
+    wrong = (F.col("dep_scheduled_utc") >= F.lit(end - timedelta(days=10))) & (F.col("event_id") % 3 == 0)
+    kept = history.FlightHistory(spark, base)
+    kept.apply(1, flights.withColumn("dep_delay_min", F.when(wrong, 500).otherwise(F.col("dep_delay_min"))))
+    airports, notices = silver_airports(spark, sf), silver_notams(spark, sf)
+    kept.rebuild(f"{base}/gold", airports, notices, None, OPTIONS)
+    kept.apply(2, flights.where(wrong))
+    kept.rebuild(f"{base}/gold", airports, notices, 1, OPTIONS)
+    return spark.read.parquet(f"{base}/gold").select(*GOLD_REGISTRY)
+
+
+@query("history_sums", ["flights"], """
+SELECT dep_iata, arr_iata, airline_iata, cast(dep_scheduled_utc::date - DATE '1970-01-01' AS bigint) AS day_no, count(*) AS n,
+  count(dep_delay_min) AS labelled, cast(coalesce(sum(dep_delay_min), 0) AS bigint) AS minutes,
+  count(CASE WHEN dep_delay_min > 15 THEN 1 END) AS late FROM flights GROUP BY 1, 2, 3, 4
+""")
+def history_sums(spark, sf):
+    """Three batches, the second of them twice: first delays, corrected ones, the rest of the flights;
+    the first two are folded."""
+    flights, early = silver_flights(spark, sf), F.col("event_id") % 4 != 0
+    kept = history.FlightHistory(spark, new_work_dir(spark, "history"))
+    kept.apply(1, flights.where(early).withColumn("dep_delay_min", F.col("dep_delay_min") + 7))
+    for _ in range(2):
+        kept.apply(2, flights.where(early))
+    kept.days.fold(2)
+    kept.apply(3, flights.where(~early))
+    return kept.days.totals().select(*kept.days.keys, *TOTALS)
+
+
 def flagship(spark, sf):
     """Trailing route statistics, same-hour congestion and target per trip."""
     route = _trailing(spark, sf, ["dep", "arr"], "route", True)

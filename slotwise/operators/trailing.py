@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from slotwise.functions.times import day_number
 from slotwise.schemas import DELAY_THRESHOLD_MINUTES
 
+TOTALS = ["n", "labelled", "minutes", "late"]
+
 
 def key_day_totals(flights: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
     """Delay sums per key and calendar day; unlabelled flights only count as rows."""
@@ -21,7 +23,7 @@ def key_day_totals(flights: DataFrame, keys: list[str], ts: str, delay: str) ->
 
 def rolled_up(totals: DataFrame, keys: list[str]) -> DataFrame:
     """Totals of finer keys summed to fewer keys."""
-    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "minutes", "late")]
+    sums = [F.sum(c).alias(c) for c in TOTALS]
     return totals.groupBy(*keys, "day_no").agg(*sums)
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, time, timedelta
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,6 +21,9 @@ from slotwise.schemas import (
 from slotwise.sources.incremental import overlapping
 from slotwise.session import persist_table
 
+if TYPE_CHECKING:
+    from slotwise.plans.history import FlightHistory
+
 # Airport column -> suffix of its dep_/arr_ copies (fixed values).
 AIRPORT_ROLES = {
     "type": "airport_type", "latitude_deg": "latitude", "longitude_deg": "longitude",
@@ -212,6 +216,13 @@ def notice_columns(df: DataFrame, options: GoldOptions) -> DataFrame:
     )
 
 
+HISTORY_KEYS = ["dep_iata", "arr_iata", "airline_iata"]
+# Kinds of trailing statistics: their keys, the prefix of their columns, whether NULL keys count.
+STATISTICS = (
+    (["dep_iata", "arr_iata"], "route", True),
+    (["airline_iata"], "airline", False),
+    (["dep_iata"], "dep_airport", False),
+)
 CELL_KEYS = ["dep_iata", "arr_iata", "airline_iata", "dep_icao", "arr_icao", "dep_scheduled_utc"]
 
 
@@ -219,12 +230,19 @@ def cell_counts(flights: DataFrame) -> DataFrame:
     return flights.groupBy(*CELL_KEYS).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def history_totals(history: DataFrame) -> DataFrame:
+    """Sums per route, carrier and day, in one pass over the history."""
+    return key_day_totals(history, HISTORY_KEYS, "dep_scheduled_utc", "dep_delay_min")
+
+
 def cell_features(
-    cells: DataFrame, history: DataFrame, arrivals: DataFrame, notams: DataFrame, options: GoldOptions
+    cells: DataFrame, daily: DataFrame, hours: DataFrame, notams: DataFrame, options: GoldOptions
 ) -> DataFrame:
     """Everything that depends only on route, carrier and time, once per row of
     ``cells``. These rows are narrow, so the lookups shuffle six columns, and the
-    wide flight rows are shuffled only once, for the join back."""
+    wide flight rows are shuffled only once, for the join back. ``daily`` (read three
+    times) and ``hours`` are sums of the flights as `history_totals` and `airport_hours`
+    make them; ``daily`` must know the days of the cells."""
     spread = CELL_KEYS
     out = cells.withColumns(
         {
@@ -232,24 +250,12 @@ def cell_features(
             "hour": hour_bucket(F.col("dep_scheduled_utc")),
         }
     )
-    hours = airport_hours(arrivals).select(
+    hours = hours.select(
         F.col("iata").alias("dep_iata"), "hour", "flights_dep_same_hour", "flights_arr_same_hour",
         F.col("flights_dep_same_hour").alias("_w"),
     )
     out = attach(out, hours, ["dep_iata", "hour"], "_w", spread, null_safe=True)
-
-    # One pass over the history; the three kinds of key are sums of its totals.
-    daily = persist_table(
-        key_day_totals(
-            history, ["dep_iata", "arr_iata", "airline_iata"], "dep_scheduled_utc", "dep_delay_min"
-        ),
-        "daily-totals",
-    )
-    for keys, prefix, null_keys in (
-        (["dep_iata", "arr_iata"], "route", True),
-        (["airline_iata"], "airline", False),
-        (["dep_iata"], "dep_airport", False),
-    ):
+    for keys, prefix, null_keys in STATISTICS:
         totals = rolled_up(daily if null_keys else daily.dropna(subset=keys), keys)
         stats = from_totals(totals, keys, prefix, options.windows)
         out = attach(
@@ -268,6 +274,14 @@ def departing(flights: DataFrame, start: datetime, end: datetime) -> DataFrame:
     return rows
 
 
+def around(flights: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Departures of [start, end), and its arrivals whichever day they left: the row groups
+    of other days are skipped by their arrival times."""
+    dep, arr = F.col("dep_scheduled_utc"), F.col("arr_scheduled_utc")
+    first, last = F.lit(start), F.lit(end)
+    return flights.where(((dep >= first) & (dep < last)) | ((arr >= first) & (arr < last)))
+
+
 def build_features(
     flights: DataFrame,
     airports: DataFrame,
@@ -275,30 +289,39 @@ def build_features(
     start: datetime,
     end: datetime,
     options: GoldOptions = GoldOptions(),
+    history: FlightHistory | None = None,
+    days: list[date] | None = None,
 ) -> DataFrame:
-    """Gold rows for flights scheduled in [start, end).
+    """Gold rows for flights scheduled in [start, end), of the given ``days`` only if there are any.
 
     Statistics look back from the start of each flight's own day, so one call for
     a month equals one call per day. Narrow intermediate tables (distinct cells,
     daily totals, notice features) are written to the shared folder on the way, so
-    the flights are scanned four times, whatever the number of features.
+    the flights are scanned four times, whatever the number of features. With the
+    kept sums of a ``history`` only the flights of [start, end) are read, twice.
     """
     target = departing(flights, start, end).dropna(subset=["flight_iata"])
-    history = departing(flights, start - timedelta(days=max(options.windows)), end)
-    # Departures of the window, and arrivals of the window whichever day they left:
-    # the row groups of other days are skipped by their arrival times.
-    dep, arr = F.col("dep_scheduled_utc"), F.col("arr_scheduled_utc")
-    first, last = F.lit(start), F.lit(end)
-    same_days = flights.where(
-        ((dep >= first) & (dep < last)) | ((arr >= first) & (arr < last))
-    )
+    if days is not None:
+        target = target.where(F.to_date("dep_scheduled_utc").isin(days))
+        if "dep_date" in target.columns:
+            target = target.where(F.col("dep_date").isin(days))
+    # Whole days, since statistics and hour counts know nothing smaller.
+    morning = datetime.combine(start.date(), time.min)
+    midnight = datetime.combine(end.date() + timedelta(days=1), time.min)
+    earlier = morning - timedelta(days=max(options.windows))
+    if history is None:
+        daily = history_totals(departing(flights, earlier, midnight))
+        hours = airport_hours(around(flights, morning, midnight))
+    else:
+        daily = history.daily(earlier.date(), end.date())
+        hours = history.hourly(morning.date(), end.date())
     notices = (
         notams
         if options.open_ended
         else overlapping(notams, "start_utc", "end_utc", F.lit(start), F.lit(end))
     )
     counts = persist_table(cell_counts(target), "cells")
-    cells = cell_features(counts, history, same_days, notices, options)
+    cells = cell_features(counts, persist_table(daily, "daily-totals"), hours, notices, options)
     cells = notice_columns(add_route(enrich_airports(cells, airports)), options)
     full = attach(target, cells, CELL_KEYS, "_n", FLIGHT_KEY, null_safe=True, weights=counts)
     full = add_calendar(full).withColumns(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, time, timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
 from slotwise.functions.rules import error_type, risk_band, top_factors, two_stage_minutes
@@ -10,8 +12,10 @@ from slotwise.operators.categories import group_rare
 from slotwise.operators.ranks import nth_keys
 from slotwise.plans.cleaning import DROPPED_COLUMNS, derive, without_leakage
 from slotwise.plans.gold import (
-    CELL_KEYS, GoldOptions, add_calendar, add_route, cell_counts, cell_features, enrich_airports, notice_columns,
+    CELL_KEYS, GoldOptions, add_calendar, add_route, airport_hours, around, cell_counts, cell_features, departing,
+    enrich_airports, history_totals, notice_columns,
 )
+from slotwise.plans.history import HOURLY, FlightHistory
 from slotwise.plans.models import Model, with_minutes, with_probability
 from slotwise.plans.silver import flatten_flights
 from slotwise.schemas import FLIGHT_KEY, RARE_MIN_COUNTS
@@ -153,7 +157,7 @@ def row_at(df: DataFrame, order: str, tie: str, position: int) -> DataFrame:
 def timetable_features(
     payloads: DataFrame,
     airports: DataFrame,
-    history: DataFrame,
+    history: DataFrame | FlightHistory,
     notams: DataFrame,
     counts: DataFrame,
     options: GoldOptions = GoldOptions(),
@@ -163,15 +167,27 @@ def timetable_features(
 
     The feature build of the training side runs on history plus timetable; what it
     cannot know yet is filled with the priors. ``counts`` are the category counts
-    of the fitted cleaning plan.
+    of the fitted cleaning plan. Of ``history`` only the days are read that the longest
+    window before the timetable holds; a `FlightHistory` gives its sums instead of flights.
     """
     provenance = {"queried_airport": "string", "chunk_from": "date", "chunk_to": "date",
                   "source": "string", "ingestion_ts_utc": "timestamp"}
     raw = payloads.withColumns({c: F.lit(None).cast(t) for c, t in provenance.items()})
     trips = flatten_flights(raw, list(carry)).withColumn("dep_delay_min", F.lit(None).cast("int"))
-    known = history.unionByName(trips.select(history.columns))
     counts_per_cell = persist_table(cell_counts(trips), "cells")
-    cells = cell_features(counts_per_cell, known, known, notams, options)
+    due = counts_per_cell.agg(F.min("dep_scheduled_utc"), F.max("dep_scheduled_utc")).first()
+    first, last = [(at or datetime(1970, 1, 1)).date() for at in due]
+    earlier = first - timedelta(days=max(options.windows))
+    if isinstance(history, FlightHistory):
+        daily, hours = history.daily(earlier, last), history.hourly(first, last)
+    else:
+        morning, midnight = (datetime.combine(d, time.min) for d in (first, last + timedelta(days=1)))
+        daily = history_totals(departing(history, datetime.combine(earlier, time.min), midnight))
+        hours = airport_hours(around(history, morning, midnight))
+    # Planned trips count in their hour and make the days known; sums per key follow later.
+    daily = persist_table(daily.unionByName(history_totals(trips)), "daily-totals")
+    hours = hours.unionByName(airport_hours(trips)).groupBy("iata", "hour").agg(*[F.sum(c).alias(c) for c in HOURLY])
+    cells = cell_features(counts_per_cell, daily, hours, notams, options)
     cells = add_route(notice_columns(enrich_airports(cells, airports), options))
     cells = cells.withColumns(
         {

@@ -96,6 +96,11 @@ class CommittedTable:
         folder = self._write_rows(self.read(base))
         return self._publish(Version(base.number + 1, (folder,), base.position, base.schema))
 
+    def replace(self, rows: DataFrame, base: Version) -> Version:
+        """``rows`` instead of those of version ``base``, in a version of the same position."""
+        folder = self._write_rows(rows)
+        return self._publish(Version(base.number + 1, (folder,), base.position, rows.schema.json()))
+
     def clear(self, keep: int = 2) -> list[str]:
         """Delete folders that none of the newest ``keep`` versions lists, with all older versions.
 
