@@ -9,6 +9,9 @@ from slotwise.catalog.views import silver_flights, table, view
 from slotwise.functions import rules
 from slotwise.operators.ranks import dense_index
 from slotwise.plans import evaluate, explore, scoring, splits
+from slotwise.plans.search_index import SearchIndex
+from slotwise.session import new_work_dir
+from slotwise.sources.numbered import NumberedTable
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -317,6 +320,26 @@ def row_lookup(spark, sf):
     return scoring.row_at(rows, "at", "o_orderkey", 1234).select("o_orderkey", "o_totalprice")
 
 
+@query("numbered_rows", None, """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_id FROM orders
+""")
+def numbered_rows(spark, sf):
+    """Every order with its number in order of time, as written once."""
+    rows = table(spark, sf, "orders").select("o_orderdate", "o_orderkey")
+    written = NumberedTable.write(rows, new_work_dir(spark, "numbered"), ["o_orderdate", "o_orderkey"])
+    return written.numbered().select("o_orderkey", "row_id")
+
+
+@query("search_indexed", ["flights"], """
+SELECT * FROM (SELECT row_number() OVER (ORDER BY dep_scheduled_utc, event_id) - 1 AS row_id, epoch_us(dep_scheduled_utc) AS
+  dep_scheduled_utc, flight_iata, dep_iata, arr_iata, airline_iata, cast(dep_delay_min AS bigint) AS dep_delay_min FROM flights) q
+WHERE lower(airline_iata) LIKE '%rch%' AND lower(flight_iata) LIKE '%l1%' AND lower(arr_iata) LIKE '%2%' ORDER BY row_id LIMIT 50
+""")
+def search_indexed(spark, sf):
+    index = SearchIndex.build(silver_flights(spark, sf), new_work_dir(spark, "search"), ["dep_scheduled_utc", "event_id"])
+    return index.search(50, airline_iata="RCH", flight_iata="l1", arr_iata="2")
+
+
 @query("align_columns", ["flights"], """
 SELECT flight_iata, cast(dep_delay_min AS double) AS dep_delay_min, cast(NULL AS double) AS route_distance_km FROM flights
 """)
