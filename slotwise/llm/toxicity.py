@@ -119,8 +119,9 @@ def examples_of(labels: DataFrame, held_out: Column, label: str, limit: int) ->
 
 
 def unlike(examples: DataFrame) -> DataFrame:
-    """One of the ``examples`` (text, label) of each least hash of three words in a row: copies
-    of a text, also changed ones, are not evidence for its words many times over."""
+    """One of the ``examples`` (doc_id, text, label) of each least hash of three words in a row, the
+    one of the smallest doc_id, then text, then label: copies of a text, also changed ones, are not
+    evidence for its words many times over."""
 
     @F.pandas_udf("long")
     def least(texts):
@@ -131,7 +132,8 @@ def unlike(examples: DataFrame) -> DataFrame:
             out.append(min(map(xxhash.xxh3_64_intdigest, threes)) >> 1)
         return _series(out).astype("int64")
 
-    return examples.withColumn("key", least("text")).dropDuplicates(["key"]).drop("key")
+    first = F.min(F.struct("doc_id", "text", "label")).alias("first")
+    return examples.withColumn("key", least("text")).groupBy("key").agg(first).select("first.*")
 
 
 def induce(examples: DataFrame) -> dict[str, int]:
@@ -276,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
     chosen = written(examples_of(labels, held_out, label, limit), "toxicity-examples")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), whole_text().alias("text"))
     # At most `limit` ids of 12 bytes each are broadcast.
-    sample = rows.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
     model = Model(induce(unlike(sample)))
 
     def run(batches):

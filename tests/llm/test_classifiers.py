@@ -6,7 +6,7 @@ import pytest
 
 from slotwise.llm.common import fold
 from slotwise.llm.quality import STATISTICS, isotonic, score_quality, statistics
-from slotwise.llm.toxicity import score_toxicity, without_toxic
+from slotwise.llm.toxicity import score_toxicity, unlike, without_toxic
 
 from tests.llm.conftest import words
 
@@ -90,3 +90,15 @@ def test_isotonic_regression_pools_violators():
     x, y = isotonic(np.array([1.0, 2, 3, 4]), np.array([10.0, 10, 10, 10]), np.array([0.0, 6, 4, 10]))
     assert x.tolist() == [1, 2, 3, 4] and (np.diff(y) >= 0).all()
     assert y[1] == y[2] == pytest.approx(10.5 / 21)
+
+
+def test_one_of_each_group_of_copies_whatever_the_order(spark):
+    text = "one two three four five"
+    rows = [(3, text, 0), (1, text, 1), (2, text + " six", 0), (9, "", 0), (8, "", 1), (5, "other words", 0), (5, "other words", 1)]
+    kept = [
+        sorted(tuple(r) for r in unlike(spark.createDataFrame(order, "doc_id long, text string, label int").repartition(3)).collect())
+        for order in (rows, rows[::-1])
+    ]
+    assert kept[0] == kept[1]
+    # The sixth word may hold a least hash of its own.
+    assert [r for r in kept[0] if r[0] != 2] == [(1, text, 1), (5, "other words", 0), (8, "", 1)]
