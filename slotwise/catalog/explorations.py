@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from slotwise.catalog.registry import Registry
 from slotwise.catalog.views import silver_airports, silver_flights, table, view
 from slotwise.operators.categories import cardinality
+from slotwise.operators import sketches
 from slotwise.operators.ranks import quantile
 from slotwise.plans import drift, explore, gold
 from slotwise.plans.splits import with_split
+from slotwise.session import persist_table
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -347,3 +349,38 @@ SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 6) AS quantile F
 """)
 def exact_quantiles(spark, sf):
     return quantile(table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", 0.9)
+
+
+@query("sketched_quantiles", None, """
+SELECT l_returnflag, count(*) AS rows, 1 AS median_close, 1 AS p95_close, 1 AS orders_close FROM lineitem
+WHERE l_shipdate::date >= DATE '1995-01-01' GROUP BY 1
+""")
+def sketched_quantiles(spark, sf):
+    """Day sketches of the prices and orders, merged from 1995 on, and whether they keep twice their
+    error bounds of the exact shares and counts."""
+    lines = table(spark, sf, "lineitem")
+    stored = persist_table(
+        sketches.daily_sketches(lines, ["l_returnflag"], "l_shipdate", ["l_extendedprice"], ["l_orderkey"]), "sketches"
+    )
+    found = sketches.answers(sketches.merged(stored, ["l_returnflag"], first=9131), {"p50": 0.5, "p95": 0.95})
+    late = lines.where(F.to_date("l_shipdate") >= F.lit("1995-01-01").cast("date"))
+    price = F.col("l_extendedprice")
+
+    def shares(name):
+        at = F.col(f"l_extendedprice_{name}")
+        return [F.count_if(price < at).alias(f"{name}_under"), F.count_if(price <= at).alias(f"{name}_upto")]
+
+    exact = late.join(found, "l_returnflag").groupBy("l_returnflag", "rows", "l_extendedprice_n", "l_orderkey_distinct").agg(
+        *shares("p50"), *shares("p95"), F.count_distinct("l_orderkey").alias("orders")
+    )
+    slack = F.lit(2 * sketches.rank_error()) * F.col("l_extendedprice_n")
+
+    def close(name, p):
+        wanted = F.lit(p) * F.col("l_extendedprice_n")
+        return ((F.col(f"{name}_under") - slack <= wanted) & (wanted <= F.col(f"{name}_upto") + slack)).alias(f"{'median' if name == 'p50' else name}_close")
+
+    off = F.abs(F.col("l_orderkey_distinct") - F.col("orders"))
+    return exact.select(
+        "l_returnflag", "rows", close("p50", 0.5), close("p95", 0.95),
+        (off <= 4 * sketches.distinct_error() * F.col("orders")).alias("orders_close"),
+    )

@@ -22,6 +22,7 @@ CHECKED = [
     "distance_bins", "crosstab_margins", "cardinality", "ks_drift", "tvd_shift", "chrono_split", "ts_cv_folds",
     "threshold_sweep", "classifier_metrics", "top_factors", "search_contains", "stream_notices", "gold_rebuild_window",
     "corr_target", "airport_snapshots", "snapshot_columns", "keys_required", "keyset_page", "table_replaced", "training_sources",
+    "numbered_rows", "search_indexed", "history_sums", "sketched_quantiles", "row_lookup",
     "report_file", "committed_runs", "ks_by_route", "target_words", "derived_defaults", "leakage_guard", "late_rows", "scored_answers",
 ]
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
