@@ -352,7 +352,7 @@ def exact_quantiles(spark, sf):
 
 
 @query("sketched_quantiles", None, """
-SELECT l_returnflag, count(*) AS rows, 1 AS median_close, 1 AS p95_close, 1 AS orders_close FROM lineitem
+SELECT l_returnflag, count(*) AS rows, 1::bigint AS median_close, 1::bigint AS p95_close, 1::bigint AS orders_close FROM lineitem
 WHERE l_shipdate::date >= DATE '1995-01-01' GROUP BY 1
 """)
 def sketched_quantiles(spark, sf):
