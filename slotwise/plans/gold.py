@@ -240,8 +240,8 @@ def cell_features(
 ) -> DataFrame:
     """Everything that depends only on route, carrier and time, once per row of
     ``cells``. These rows are narrow, so the lookups shuffle six columns, and the
-    wide flight rows are shuffled only once, for the join back. ``daily`` (read three
-    times) and ``hours`` are sums of the flights as `history_totals` and `airport_hours`
+    wide flight rows are shuffled only once, for the join back. ``daily`` and
+    ``hours``, both read several times, are sums of the flights as `history_totals` and `airport_hours`
     make them; ``daily`` must know the days of the cells."""
     spread = CELL_KEYS
     out = cells.withColumns(
@@ -321,7 +321,9 @@ def build_features(
         else overlapping(notams, "start_utc", "end_utc", F.lit(start), F.lit(end))
     )
     counts = persist_table(cell_counts(target), "cells")
-    cells = cell_features(counts, persist_table(daily, "daily-totals"), hours, notices, options)
+    cells = cell_features(
+        counts, persist_table(daily, "daily-totals"), persist_table(hours, "airport-hours"), notices, options
+    )
     cells = notice_columns(add_route(enrich_airports(cells, airports)), options)
     full = attach(target, cells, CELL_KEYS, "_n", FLIGHT_KEY, null_safe=True, weights=counts)
     full = add_calendar(full).withColumns(

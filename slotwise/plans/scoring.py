@@ -187,7 +187,7 @@ def timetable_features(
     # Planned trips count in their hour and make the days known; sums per key follow later.
     daily = persist_table(daily.unionByName(history_totals(trips)), "daily-totals")
     hours = hours.unionByName(airport_hours(trips)).groupBy("iata", "hour").agg(*[F.sum(c).alias(c) for c in HOURLY])
-    cells = cell_features(counts_per_cell, daily, hours, notams, options)
+    cells = cell_features(counts_per_cell, daily, persist_table(hours, "airport-hours"), notams, options)
     cells = add_route(notice_columns(enrich_airports(cells, airports), options))
     cells = cells.withColumns(
         {
