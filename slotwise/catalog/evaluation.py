@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from slotwise.catalog.registry import Registry
 from slotwise.catalog.views import silver_flights, table, view
 from slotwise.functions import rules
-from slotwise.operators.ranks import dense_index
-from slotwise.plans import evaluate, explore, scoring, splits
+from slotwise.operators.ranks import dense_index, median
+from slotwise.plans import evaluate, explore, models, scoring, splits
+from slotwise.plans.fills import ExactFills
 from slotwise.plans.search_index import SearchIndex
 from slotwise.session import new_work_dir
 from slotwise.sources.numbered import NumberedTable
@@ -68,6 +70,32 @@ def dense_row_index(spark, sf):
     return numbered.select("event_id", n.alias("n"))
 
 
+# --------------------------------------------------------------------- fills
+@query("fitted_fills", None, """
+WITH r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_extendedprice END AS price,
+  CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_quantity END AS quantity, CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS flag,
+  l_shipdate FROM lineitem), f AS (SELECT * FROM r WHERE l_shipdate < TIMESTAMP '1996-01-01'),
+m AS (SELECT median(price) AS price, median(quantity) AS quantity FROM f),
+w AS (SELECT flag FROM f WHERE flag IS NOT NULL GROUP BY flag ORDER BY count(*) DESC, flag LIMIT 1)
+SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, round(coalesce(r.price, m.price), 6) AS price, round(coalesce(r.quantity, m.quantity), 6) AS quantity,
+  coalesce(r.flag, w.flag) AS flag FROM r, m, w
+""")
+def fitted_fills(spark, sf):
+    """Medians and most frequent values of the early lines, saved, loaded and applied to all lines."""
+    rows = table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_shipdate", "CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_extendedprice END AS price",
+        "CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_quantity END AS quantity",
+        "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS flag",
+    )
+    stage = ExactFills(numeric=["price", "quantity"], categorical=["flag"])
+    path = new_work_dir(spark, "fills")
+    Pipeline(stages=[stage]).fit(rows.where("l_shipdate < TIMESTAMP '1996-01-01'")).save(path)
+    filled = PipelineModel.load(path).transform(rows)
+    return filled.selectExpr(
+        "l_orderkey", "l_linenumber", "price__num AS price", "quantity__num AS quantity", "flag__cat AS flag"
+    )
+
+
 # ------------------------------------------------------------------- metrics
 @query("confusion", ["scored"], """
 WITH c AS (SELECT event_type AS model, count(*) FILTER (y = 0 AND p < 0.5) AS tn, count(*) FILTER (y = 0 AND p >= 0.5) AS fp,
@@ -138,6 +166,48 @@ def classifier_metrics(spark, sf):
     return evaluate.classifier_metrics(scored(spark, sf), 0.6)
 
 
+# The score, what it leaves to one, the minutes as a score and the same answer for all rows.
+STACKED = """s AS (SELECT 'score' AS model, y, p FROM scored UNION ALL SELECT 'complement', y, 1 - p FROM scored
+  UNION ALL SELECT 'minutes', y, pred_min / 120 FROM scored UNION ALL SELECT 'constant', y, 0.0e0 FROM scored),
+u AS (SELECT model, p, count(*) AS n, sum(y) AS pos FROM s GROUP BY model, p),
+r AS (SELECT model, p, n, pos, sum(n) OVER d AS cn, sum(pos) OVER d AS cp, sum(pos) OVER g AS tp, sum(n) OVER g AS tn FROM u
+  WINDOW d AS (PARTITION BY model ORDER BY p DESC), g AS (PARTITION BY model)),
+m AS (SELECT model, sum((n - pos)::double * (cp - pos / 2.0::double)) / (max(tp)::double * (max(tn) - max(tp))) AS roc_auc,
+  sum(pos / tp::double * (cp / cn::double)) AS pr_auc FROM r GROUP BY model),
+c AS (SELECT model, count(*) FILTER (y = 0 AND p < 0.5) AS tn, count(*) FILTER (y = 0 AND p >= 0.5) AS fp,
+  count(*) FILTER (y = 1 AND p < 0.5) AS fn, count(*) FILTER (y = 1 AND p >= 0.5) AS tp, avg((p - y) * (p - y)) AS brier
+  FROM s GROUP BY model)"""
+
+
+@query("leaderboard", ["scored"], f"""WITH {STACKED}
+SELECT model, 'baseline' AS stage, 0.5e0 AS threshold, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
+  round((tp + tn) / (tp + tn + fp + fn)::double, 6) AS accuracy,
+  CASE WHEN tp + fp = 0 THEN 0 ELSE round(tp / (tp + fp)::double, 6) END AS precision, round(tp / (tp + fn)::double, 6) AS recall,
+  round(2 * tp / (2 * tp + fp + fn)::double, 6) AS f1, round(brier, 6) AS brier, tn, fp, fn, tp FROM c JOIN m USING (model)""")
+def leaderboard(spark, sf):
+    """Four ways to score the same rows, compared from one aggregation."""
+    rows = scored(spark, sf)
+    ways = {"score": F.col("p"), "complement": 1 - F.col("p"), "minutes": F.col("pred_min") / 120, "constant": F.lit(0.0)}
+    return models.leaderboard({name: rows.select("y", p.alias("p")) for name, p in ways.items()}, "baseline")
+
+
+@query("regressor_leaderboard", ["scored"], """
+WITH l AS (SELECT minutes, pred_min FROM scored WHERE y = 1), k AS (SELECT median(minutes) AS middle FROM l),
+s AS (SELECT 'minutes' AS model, minutes, pred_min FROM l UNION ALL SELECT 'halved', minutes, pred_min / 2 FROM l
+  UNION ALL SELECT 'Dummy median', minutes, middle FROM l, k)
+SELECT model, 'baseline' AS stage, count(*) AS rows, round(avg(abs(pred_min - minutes)), 6) AS mae,
+  round(sqrt(avg(pow(pred_min - minutes, 2))), 6) AS rmse,
+  round(1 - sum(pow(pred_min - minutes, 2)) / sum(pow(minutes - m, 2)), 6) AS r2,
+  round(median(abs(pred_min - minutes)), 6) AS median_absolute_error
+FROM (SELECT *, avg(minutes) OVER (PARTITION BY model) AS m FROM s) q GROUP BY model
+""")
+def regressor_leaderboard(spark, sf):
+    late = scored(spark, sf).where("y = 1").select("minutes", "pred_min")
+    ways = {"minutes": late, "halved": late.withColumn("pred_min", F.col("pred_min") / 2)}
+    middle = median(late, [], "minutes").select("median").scalar()
+    return models.regressor_leaderboard({**ways, "Dummy median": late.withColumn("pred_min", middle)}, "baseline")
+
+
 @query("regression_metrics", ["scored"], """
 SELECT carrier, count(*) AS rows, round(avg(abs(pred_min - minutes)), 6) AS mae, round(sqrt(avg(pow(pred_min - minutes, 2))), 6) AS rmse,
   round(1 - sum(pow(pred_min - minutes, 2)) / sum(pow(minutes - m, 2)), 6) AS r2,
@@ -229,6 +299,14 @@ def min_max_scores(spark, sf):
     return evaluate.min_max_scores(scored(spark, sf).drop("p"), "pred_min").select("event_id", "p")
 
 
+@query("margin_scores", ["scored"], """
+SELECT event_id, round(1 / (1 + exp((60 - pred_min) / 20)), 6) AS p FROM scored
+""")
+def margin_scores(spark, sf):
+    """Minutes around an hour as margins, through the logistic function."""
+    return scored(spark, sf).select("event_id", rules.logistic((F.col("pred_min") - 60) / 20).alias("p"))
+
+
 METRICS = """metrics AS (SELECT CASE WHEN k % 2 = 0 THEN 'Tuned ' ELSE '' END || carrier AS model,
   CASE WHEN k % 2 = 0 THEN 'tuned' ELSE 'baseline' END AS stage,
   round(avg(CASE WHEN (p >= 0.5) = (y = 1) THEN 1.0 ELSE 0.0 END), 6) AS accuracy,

@@ -55,40 +55,60 @@ def score_counts(scored: DataFrame, groups: list[str] = ()) -> DataFrame:
     return value_counts(scored, list(groups), "p", pos=F.col("y"))
 
 
-def ranking_metrics(scored: DataFrame, groups: list[str] = ()) -> DataFrame:
-    """Tie-aware ROC-AUC and step-wise average precision."""
-    groups = list(groups)
-    ranked = running_sums(score_counts(scored, groups), groups, "p", ["n", "pos"])
+def _ranking_columns() -> list[Column]:
+    """ROC-AUC and average precision as sums over ranked score counts."""
     pos, neg = F.col("pos"), F.col("n") - F.col("pos")
     total_pos = F.col("total_pos").cast("double")
     total_neg = F.col("total_n") - total_pos
     above = F.col("total_pos") - F.col("cum_pos")
     reached = F.col("total_n") - F.col("cum_n") + F.col("n")
     hits = above + pos
-    return ranked.groupBy(*groups).agg(
+    return [
         F.sum(F.try_divide(neg * (above + pos / 2), total_pos * total_neg)).alias("roc_auc"),
         F.sum(F.try_divide(pos / total_pos * hits, reached)).alias("pr_auc"),
-    )
+    ]
 
 
-def classifier_metrics(scored: DataFrame, threshold: float) -> DataFrame:
-    """One row with every classification measure at a threshold."""
-    predicted = (F.col("p") >= F.lit(threshold)).cast("int")
-    ranking = ranking_metrics(scored)
-    counts = confusion(scored, predicted)
-    brier = scored.agg(F.avg(F.pow(F.col("p") - F.col("y"), 2.0)))
-    return counts.select(
+def _ranked_scores(scored: DataFrame, groups: list[str]) -> DataFrame:
+    return running_sums(score_counts(scored, groups), groups, "p", ["n", "pos"])
+
+
+def ranking_metrics(scored: DataFrame, groups: list[str] = ()) -> DataFrame:
+    """Tie-aware ROC-AUC and step-wise average precision."""
+    groups = list(groups)
+    return _ranked_scores(scored, groups).groupBy(*groups).agg(*_ranking_columns())
+
+
+def classifier_metrics(scored: DataFrame, threshold: float, groups: list[str] = ()) -> DataFrame:
+    """Every classification measure at a threshold, one row per group.
+
+    All of them are sums over the rows and positives per distinct score, so the scored
+    rows are read once.
+    """
+    groups = list(groups)
+    p, pos, neg = F.col("p"), F.col("pos"), F.col("n") - F.col("pos")
+    reached = p >= F.lit(threshold)
+    squares = neg * F.pow(p, 2.0) + pos * F.pow(1 - p, 2.0)
+    known = F.sum(F.when(p.isNotNull(), F.col("n")))
+
+    def total(condition: Column, count: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, count)), F.lit(0))
+
+    sums = _ranked_scores(scored, groups).groupBy(*groups).agg(
+        *_ranking_columns(),
+        F.try_divide(F.sum(squares), known).alias("brier"),
+        total(~reached, neg).alias("tn"),
+        total(reached, neg).alias("fp"),
+        total(~reached, pos).alias("fn"),
+        total(reached, pos).alias("tp"),
+    )
+    measures = classification_columns(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
+    return sums.select(
+        *groups,
         F.lit(float(threshold)).alias("threshold"),
-        ranking.select("roc_auc").scalar().alias("roc_auc"),
-        ranking.select("pr_auc").scalar().alias("pr_auc"),
-        *[
-            c.alias(name)
-            for name, c in classification_columns(
-                F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")
-            ).items()
-        ],
-        brier.scalar().alias("brier"),
-        "tn", "fp", "fn", "tp",
+        "roc_auc", "pr_auc",
+        *[c.alias(name) for name, c in measures.items()],
+        "brier", "tn", "fp", "fn", "tp",
     )
 
 

@@ -5,23 +5,23 @@ from __future__ import annotations
 import itertools
 import random
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from slotwise.operators.categories import category_counts, most_frequent
+from slotwise.functions.rules import logistic
 from slotwise.operators.ranks import dense_index, median
 from slotwise.plans.binned_trees import BinnedModel, Settings, Unit, bin_rows, fit_binning, fit_units, fold_scores
 from slotwise.plans.cleaning import FeatureSet
 from slotwise.plans.evaluate import (
-    best_threshold, classifier_metrics, ranking_metrics, regression_metrics, threshold_sweep,
+    best_threshold, classifier_metrics, min_max_scores, ranking_metrics, regression_metrics, threshold_sweep,
 )
+from slotwise.plans.fills import ExactFills
 from slotwise.plans.splits import expanding_folds, positional_split
 from slotwise.schemas import DELAY_THRESHOLD_MINUTES, TARGET_CLASS, TARGET_MINUTES, TIME_COLUMN
 from slotwise.session import persist_table
@@ -94,30 +94,17 @@ def model_frame(features: FeatureSet) -> ModelFrame:
 def preprocessing(frame: ModelFrame) -> list:
     """Median and mode imputation, scaling, one-hot with unknown values as zeros.
 
-    The mode is fitted on the rows of ``frame``; everything ends in ``features``.
+    All of it is fitted with the pipeline; everything ends in ``features``.
     """
-    stages, parts = [], []
+    stages, parts = [ExactFills(numeric=frame.numeric, categorical=frame.categorical)], []
     if frame.numeric:
-        filled = [f"{c}__num" for c in frame.numeric]
         stages += [
-            Imputer(strategy="median", relativeError=0.001, inputCols=frame.numeric, outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="_numeric"),
+            VectorAssembler(inputCols=[f"{c}__num" for c in frame.numeric], outputCol="_numeric"),
             StandardScaler(withMean=True, inputCol="_numeric", outputCol="_scaled"),
         ]
         parts.append("_scaled")
     if frame.categorical:
-        modes = {
-            r["feature"]: r["value"]
-            for r in most_frequent(category_counts(frame.rows, frame.categorical)).collect()
-        }
-        fills = ", ".join(
-            "coalesce(`{c}`, '{v}') AS `{c}__cat`".format(
-                c=c, v=(modes.get(c) or "").replace("\\", "\\\\").replace("'", "\\'")
-            )
-            for c in frame.categorical
-        )
         stages += [
-            SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"),
             StringIndexer(
                 inputCols=[f"{c}__cat" for c in frame.categorical],
                 outputCols=[f"{c}__idx" for c in frame.categorical],
@@ -179,12 +166,25 @@ def forest_regressor(**params) -> RandomForestRegressor:
     )
 
 
-def with_probability(model: Model, rows: DataFrame) -> DataFrame:
-    """Scored rows with ``p``; working columns are dropped."""
+def with_probability(model: Model, rows: DataFrame, scaled: bool = False) -> DataFrame:
+    """Scored rows with ``p``; working columns are dropped.
+
+    The margin of a model without probabilities goes through the logistic function, or
+    with ``scaled`` is spread over the range of the margins of all ``rows``. A model
+    with neither gives its prediction.
+    """
     if isinstance(model, BinnedModel):
         return model.score(rows, "p")
     scored = model.transform(rows)
-    return scored.select(*rows.columns, vector_to_array("probability")[1].alias("p"))
+    if "probability" in scored.columns:
+        return scored.select(*rows.columns, vector_to_array("probability")[1].alias("p"))
+    if "rawPrediction" not in scored.columns:
+        return scored.select(*rows.columns, F.col("prediction").cast("double").alias("p"))
+    margin = vector_to_array("rawPrediction")[1]
+    if not scaled:
+        return scored.select(*rows.columns, logistic(margin).alias("p"))
+    margins = persist_table(scored.select(*rows.columns, margin.alias("_margin")), "margins")
+    return min_max_scores(margins, "_margin").drop("_margin")
 
 
 def with_minutes(model: Model, rows: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def tune_threshold(frame: ModelFrame, estimator: Estimator | Settings, **limits:
     """Fit on the first 80 % of the rows, pick the threshold on the last 20 %."""
     early, late = positional_split(frame.rows, "order", "tie", 0.8)
     model = fit(frame.on(early), estimator)
-    sweep = threshold_sweep(with_probability(model, late).select("y", "p"))
+    sweep = threshold_sweep(with_probability(model, late, scaled=True).select("y", "p"))
     return best_threshold(sweep, **limits), sweep
 
 
@@ -265,14 +265,18 @@ def compare_classifiers(
     """Metrics per model, best first by average precision, ROC-AUC and F1."""
     scored = {"Dummy most_frequent": majority_scores(train.rows, test)} if stage == "baseline" else {}
     for name, model in fit_all(train, estimators).items():
-        scored[name] = persist_table(with_probability(model, test).select("y", "p"), "scored")
-    rows = [
-        classifier_metrics(s.select("y", "p"), threshold).select(
-            F.lit(name).alias("model"), F.lit(stage).alias("stage"), "*"
-        )
-        for name, s in scored.items()
-    ]
-    return _stack(rows).orderBy(F.desc("pr_auc"), F.desc("roc_auc"), F.desc("f1"))
+        scored[name] = persist_table(with_probability(model, test, scaled=True).select("y", "p"), "scored")
+    return leaderboard(scored, stage, threshold)
+
+
+def leaderboard(scored: dict[str, DataFrame], stage: str, threshold: float = 0.5) -> DataFrame:
+    """Metrics of scored rows (``y``, ``p``) per model from one aggregation of all of them,
+    best first; a model without scored rows is left out."""
+    rows = _stack({name: s.select("y", "p") for name, s in scored.items()})
+    found = classifier_metrics(rows, threshold, ["model"])
+    return found.select("model", F.lit(stage).alias("stage"), *found.columns[1:]).orderBy(
+        F.desc("pr_auc"), F.desc("roc_auc"), F.desc("f1"), "model"
+    )
 
 
 def compare_regressors(
@@ -282,20 +286,20 @@ def compare_regressors(
     scored = {"Dummy median": median_minutes(train.rows, test)} if stage == "baseline" else {}
     for name, model in fit_all(train, estimators).items():
         scored[name] = persist_table(with_minutes(model, test).select("minutes", "pred_min"), "scored")
-    rows = [
-        regression_metrics(s.select("minutes", "pred_min")).select(
-            F.lit(name).alias("model"), F.lit(stage).alias("stage"), "*"
-        )
-        for name, s in scored.items()
-    ]
-    return _stack(rows).orderBy("mae", "rmse")
+    return regressor_leaderboard(scored, stage)
+
+
+def regressor_leaderboard(scored: dict[str, DataFrame], stage: str) -> DataFrame:
+    """Metrics of scored late rows (``minutes``, ``pred_min``) per model, best first; a model
+    without scored rows is left out."""
+    rows = _stack({name: s.select("minutes", "pred_min") for name, s in scored.items()})
+    found = regression_metrics(rows, ["model"])
+    return found.select("model", F.lit(stage).alias("stage"), *found.columns[1:]).orderBy("mae", "rmse", "model")
 
 
-def _stack(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out
+def _stack(frames: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all frames with the name of theirs in ``model``."""
+    return reduce(DataFrame.unionByName, [f.select(F.lit(n).alias("model"), "*") for n, f in frames.items()])
 
 
 # -------------------------------------------------------------- random search

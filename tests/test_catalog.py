@@ -24,6 +24,7 @@ CHECKED = [
     "corr_target", "airport_snapshots", "snapshot_columns", "keys_required", "keyset_page", "table_replaced", "training_sources",
     "numbered_rows", "search_indexed", "history_sums", "sketched_quantiles", "row_lookup",
     "report_file", "committed_runs", "ks_by_route", "target_words", "derived_defaults", "leakage_guard", "late_rows", "scored_answers",
+    "fitted_fills", "leaderboard", "regressor_leaderboard", "margin_scores", "min_max_scores", "confusion", "roc_auc", "avg_precision",
 ]
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
 
