@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+from slotwise.catalog import explorations
 from slotwise.operators.sketches import answers, daily_sketches, distinct_error, merged, rank_error
 from slotwise.session import persist_table
 
@@ -43,3 +44,13 @@ def test_groups_without_values_and_empty_tables(spark):
     out = answers(merged(daily_sketches(df, ["g"], "ts", ["v"], ["k"]), ["g"]), {"p50": 0.5}).orderBy("g").collect()
     assert [tuple(r) for r in out] == [("a", 1, 0, None, 0), ("b", 1, 1, 1.5, 1)]
     assert answers(merged(daily_sketches(df.limit(0), ["g"], "ts", ["v"], ["k"]), ["g"]), {"p50": 0.5}).collect() == []
+
+
+def test_lines_are_not_dealt_out_by_their_few_flags(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = explorations.sketched_quantiles(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
