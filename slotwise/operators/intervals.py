@@ -1,14 +1,20 @@
 """Which validity intervals hold at a point in time, without pairing all rows.
 
 An interval is clipped to the times that are asked for and cut into aligned blocks of
-five lengths, from 64 seconds up. Blocks are summed per (place, block) before they meet
-any point, and a point looks up the one block of each length it lies in. Only in the two
-64-second blocks in which an interval begins and ends are exact times compared.
+five lengths, from 64 seconds up. Runs of blocks are summed before they are spelled out, and
+blocks before they meet the 64-second blocks that hold points. In the two of these in which an
+interval begins and ends it counts for the points after its begin or before its end: running
+sums over begins, points and ends in their order. Only intervals that begin and end in one such
+block are compared with its points, and by an equal time if they hold a single one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from slotwise.session import persist_table
 
 # Blocks of 64 s times 2**0, 2**4, 2**8, 2**12 and 2**16 (64 s, 17 min, 4.5 h, 3 days, 48 days).
 TIERS = [0, 4, 8, 12, 16]
@@ -29,8 +35,9 @@ def _span(start: Column, stop: Column, tier: int) -> Column:
     )
 
 
-def _with_blocks(df: DataFrame, low: str, high: str) -> DataFrame:
-    """One row per block of the exact cover of the smallest blocks [low, high).
+def _spans(df: DataFrame, low: str, high: str) -> DataFrame:
+    """One row per run of equal blocks (tier, first, last) of the exact cover of the smallest
+    blocks [low, high).
 
     Each tier takes what does not fill a block of the next one at either end. The
     bounds are columns of their own, so the expressions stay small.
@@ -56,7 +63,7 @@ def _with_blocks(df: DataFrame, low: str, high: str) -> DataFrame:
     bounds = [c for c in out.columns if c.startswith(("_lo", "_hi"))]
     spans = out.withColumn("_span", F.explode(F.array_compact(F.array(*pieces)))).drop(*bounds)
     return spans.select(
-        "*", F.col("_span.tier").alias("tier"), F.explode(F.sequence("_span.start", "_span.last")).alias("block")
+        "*", F.col("_span.tier").alias("tier"), F.col("_span.start").alias("_from"), F.col("_span.last").alias("_to")
     ).drop("_span")
 
 
@@ -80,15 +87,19 @@ def stab(
     Intervals end where the points end, so one that never ends makes no more blocks
     than the asked range holds.
     """
+    # Intervals are counted, so that a point in none of them is known.
+    sums, asked_for = ["_held", *sums], [*sums, *maxima]
     merge = [F.sum(c).alias(c) for c in sums] + [F.max(c).alias(c) for c in maxima]
     measures = [*sums, *maxima]
     earliest, latest = (F.lit(t).cast("long") for t in points.agg(F.min(at), F.max(at)).first())
     asked = intervals.where((F.col(start) <= F.col(end)) & (F.col(start) <= latest) & (F.col(end) >= earliest))
-    clipped = asked.withColumns({start: F.greatest(start, earliest), end: F.least(end, latest)})
+    clipped = asked.withColumns(
+        {start: F.greatest(start, earliest), end: F.least(end, latest), "_held": F.lit(1).cast("long")}
+    )
     distinct = clipped.groupBy(place, start, end).agg(*merge)
-    # Each interval becomes many blocks, so the few intervals go to all tasks.
+    # Each interval becomes many blocks, so the few intervals go to all tasks; they are read four times.
     tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = distinct.repartition(tasks, end, start, place)
+    distinct = persist_table(distinct.repartition(tasks, end, start, place), "intervals")
 
     # Smallest blocks [low, high) wholly inside the interval, and the blocks of its two ends.
     cut = distinct.withColumns(
@@ -99,37 +110,74 @@ def stab(
             "_high": _unit(F.col(end) + 1),
         }
     ).withColumn("_high", F.greatest("_low", "_high"))
+    # Runs that begin or end alike are many intervals' own, and there are no more than blocks.
     covered = (
-        _with_blocks(cut.select(place, *measures, "_low", "_high"), "_low", "_high")
+        _spans(cut.select(place, *measures, "_low", "_high"), "_low", "_high")
+        .groupBy(place, "tier", "_from", "_to")
+        .agg(*merge)
+        .select(place, "tier", F.explode(F.sequence("_from", "_to")).alias("block"), *measures)
         .groupBy(place, "tier", "block")
         .agg(*merge)
     )
-    partly = F.array(
-        F.when(F.col("_first") < F.col("_low"), F.col("_first")),
-        F.when(
-            (F.col("_last") >= F.col("_high"))
-            & ((F.col("_last") != F.col("_first")) | (F.col("_first") >= F.col("_low"))),
-            F.col("_last"),
-        ),
-    )
-    edges = cut.select(
-        place, start, end, *measures, F.explode(F.array_compact(partly)).alias("block")
-    )
-
-    unit = _unit(F.col(at))
+    looking = points.select(place, at, _unit(F.col(at)).alias("_s"))
     tiers = F.array(
         *[F.struct(F.lit(t).alias("tier"), F.shiftright("_s", t).alias("block")) for t in TIERS]
     )
-    looking = (
-        points.select(place, at, unit.alias("_s"))
-        .select(place, at, F.explode(tiers).alias("_b"))
-        .select(place, at, F.col("_b.tier").alias("tier"), F.col("_b.block").alias("block"))
+    whole = (
+        looking.select(place, "_s").distinct()
+        .select(place, "_s", F.explode(tiers).alias("_b"))
+        .select(place, "_s", F.col("_b.tier").alias("tier"), F.col("_b.block").alias("block"))
+        .join(covered, [place, "tier", "block"])
+        .groupBy(place, "_s")
+        .agg(*[m.alias(f"_w_{c}") for m, c in zip(merge, measures)])
     )
-    whole = looking.join(covered, [place, "tier", "block"]).select(place, at, *measures)
-    partial = (
-        points.select(place, at, unit.alias("block"))
-        .join(edges, [place, "block"])
+
+    begins_cut, ends_cut = F.col("_first") < F.col("_low"), F.col("_last") >= F.col("_high")
+    longer = F.col("_first") < F.col("_last")
+    short = cut.where(~longer & (begins_cut | ends_cut)).select(place, start, end, *measures, F.col("_first").alias("_s"))
+    moments = short.where(F.col(start) == F.col(end)).select(place, F.col(start).alias(at), *measures)
+    inside = (
+        looking.join(short.where(F.col(start) < F.col(end)), [place, "_s"])
         .where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end)))
         .select(place, at, *measures)
+        .unionByName(looking.join(moments, [place, at]).select(place, at, *measures))
+        .groupBy(place, at)
+        .agg(*merge)
+    )
+
+    def turns(rows: DataFrame, block: Column, time: str, order: int, prefix: str | None = None) -> DataFrame:
+        """Begins (0), points (1) and ends (2) of intervals, with measures under their prefix."""
+        columns = [
+            (F.col(c) if p == prefix else F.lit(None)).cast(kinds[c]).alias(f"{p}{c}") for p in ("_o_", "_c_", "_i_") for c in measures
+        ]
+        return rows.select(place, block.alias("_s"), F.col(time).alias(at), F.lit(order).alias("_turn"), *columns)
+
+    kinds = dict(cut.dtypes)
+    line = reduce(
+        DataFrame.unionByName,
+        [
+            turns(looking, F.col("_s"), at, 1),
+            turns(inside, _unit(F.col(at)), at, 1, "_i_"),
+            turns(cut.where(longer & begins_cut), F.col("_first"), start, 0, "_o_"),
+            turns(cut.where(longer & ends_cut), F.col("_last"), end, 2, "_c_"),
+        ],
     )
-    return whole.unionByName(partial).groupBy(place, at).agg(*merge)
+    rows = Window.partitionBy(place, "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    since, until = rows.orderBy(at, "_turn"), rows.orderBy(F.desc(at), F.desc("_turn"))
+    running = {
+        f"{p}{c}": (F.sum if c in sums else F.max)(f"{p}{c}").over(w) for p, w in (("_o_", since), ("_c_", until)) for c in measures
+    }
+    found = line.withColumns(running).where("_turn = 1").groupBy(place, "_s", at).agg(
+        *[F.max(f"{p}{c}").alias(f"{p}{c}") for p in ("_o_", "_c_", "_i_") for c in measures]
+    )
+    found = found.join(whole, [place, "_s"], "left")
+
+    def together(c: str) -> Column:
+        parts = [F.col(f"{p}{c}") for p in ("_o_", "_c_", "_i_", "_w_")]
+        if c in maxima:
+            return F.greatest(*parts)
+        # A sum of only NULL is NULL.
+        total = reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0)) for x in parts])
+        return F.when(F.coalesce(*parts).isNotNull(), total)
+
+    return found.where(together("_held") > 0).select(place, at, *[together(c).alias(c) for c in asked_for])

@@ -1,5 +1,6 @@
 """Operators against brute force, with hot keys."""
 
+import inspect
 import random
 
 import numpy as np
@@ -226,3 +227,25 @@ def test_most_frequent_takes_the_smallest_on_a_tie(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "c string")
     got = categories.most_frequent(categories.category_counts(df, ["c"])).first()
     assert (got["value"], got["n"]) == ("a", 2)
+
+
+def test_stab_points_and_ends_of_one_block_are_not_paired(spark):
+    """200 points and 200 longer intervals that begin in one 64-second block: 40,000 pairs before."""
+    unit = intervals.UNIT
+    points = [("p", 5 * unit + i * 1000) for i in range(200)]
+    spans = [("p", 5 * unit + i * 1000 + 7, 9 * unit) for i in range(200)]
+    points.append(("p", 9 * unit))
+    assert run_stab(spark, points, spans) == brute_stab(set(points), spans)
+    p = spark.createDataFrame(points, "place string, at long")
+    s = spark.createDataFrame([(*x, 1, 0.0) for x in spans], "place string, a long, b long, n long, m double")
+    plan = intervals.stab(p, s, "place", "at", "a", "b", ["n"], ["m"])._jdf.queryExecution().optimizedPlan().toString()
+    # Exact times are compared only where an interval lies in one block.
+    assert "Window" in plan and sum("Join" in line and "<= at" in line for line in plan.splitlines()) <= 1
+
+
+def test_profile_makes_no_row_per_cell(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", None), (1, None, 2.0)], "x int, s string, n double")
+    profile = {p["feature"]: p for p in constancy.column_profile(df, df.columns)}
+    assert [profile[c]["missing"] for c in "xsn"] == [0, 1, 2] and profile["x"]["constant"] and not profile["n"]["constant"]
+    assert constancy.column_profile(df.limit(0), df.columns) == []
+    assert "explode" not in inspect.getsource(constancy.column_profile)
