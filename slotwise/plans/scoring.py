@@ -7,13 +7,12 @@ from datetime import datetime, time, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from slotwise.functions.rules import error_type, risk_band, top_factors, two_stage_minutes
-from slotwise.operators.attach import attach
 from slotwise.operators.categories import group_rare
 from slotwise.operators.ranks import nth_keys
 from slotwise.plans.cleaning import DROPPED_COLUMNS, derive, without_leakage
 from slotwise.plans.gold import (
-    CELL_KEYS, GoldOptions, add_calendar, add_route, airport_hours, around, cell_counts, cell_features, departing,
-    enrich_airports, history_totals, notice_columns,
+    GoldOptions, add_calendar, add_route, airport_hours, around, departing, enrich_airports, history_totals, looked_up,
+    notice_columns,
 )
 from slotwise.plans.history import HOURLY, FlightHistory
 from slotwise.plans.models import Model, with_minutes, with_probability
@@ -174,8 +173,9 @@ def timetable_features(
                   "source": "string", "ingestion_ts_utc": "timestamp"}
     raw = payloads.withColumns({c: F.lit(None).cast(t) for c, t in provenance.items()})
     trips = flatten_flights(raw, list(carry)).withColumn("dep_delay_min", F.lit(None).cast("int"))
-    counts_per_cell = persist_table(cell_counts(trips), "cells")
-    due = counts_per_cell.agg(F.min("dep_scheduled_utc"), F.max("dep_scheduled_utc")).first()
+    # Read five times, so the payloads are parsed once.
+    trips = persist_table(trips, "timetable")
+    due = trips.agg(F.min("dep_scheduled_utc"), F.max("dep_scheduled_utc")).first()
     first, last = [(at or datetime(1970, 1, 1)).date() for at in due]
     earlier = first - timedelta(days=max(options.windows))
     if isinstance(history, FlightHistory):
@@ -187,15 +187,14 @@ def timetable_features(
     # Planned trips count in their hour and make the days known; sums per key follow later.
     daily = persist_table(daily.unionByName(history_totals(trips)), "daily-totals")
     hours = hours.unionByName(airport_hours(trips)).groupBy("iata", "hour").agg(*[F.sum(c).alias(c) for c in HOURLY])
-    cells = cell_features(counts_per_cell, daily, persist_table(hours, "airport-hours"), notams, options)
-    cells = add_route(notice_columns(enrich_airports(cells, airports), options))
-    cells = cells.withColumns(
+    full = looked_up(trips, daily, persist_table(hours, "airport-hours"), notams, options)
+    full = add_route(notice_columns(enrich_airports(full, airports), options))
+    full = full.withColumns(
         {
-            c: F.coalesce(F.col(c), F.lit(v)) if c in cells.columns else F.lit(v)
+            c: F.coalesce(F.col(c), F.lit(v)) if c in full.columns else F.lit(v)
             for c, v in PRIORS.items()
         }
     )
-    full = attach(trips, cells, CELL_KEYS, "_n", FLIGHT_KEY, null_safe=True, weights=counts_per_cell)
     full = derive(add_calendar(full))
     grouped = group_rare(full, RARE_MIN_COUNTS, counts, FLIGHT_KEY)
     kept = without_leakage(grouped.drop(*[c for c in carry])).columns
