@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from slotwise.catalog import modelling
 from slotwise.plans import cleaning, models, scoring
 from slotwise.plans.binned_trees import BinnedModel, Settings, Unit, bin_rows, fit_binning, fit_units
 from slotwise.plans.evaluate import ranking_metrics
@@ -70,6 +71,15 @@ def test_unknown_category_and_missing_values_are_scored(spark, fitted, tmp_path)
     assert out[0]["top_factors"] == ["departure airport NOTAM activity"] and out[1]["top_factors"] == []
 
 
+def test_prepared_rows_are_dealt_out(spark):
+    cleaned, frame = modelling._prepared(spark, "/root/testdata/sf0.001")
+    files = [cleaned.inputFiles(), frame.rows.inputFiles()]
+    assert all(len(f) >= 4 for f in files)
+    shares = [r["count"] for r in cleaned.groupBy(F.input_file_name()).count().collect()]
+    assert len(shares) == 4 and max(shares) < sum(shares) / 2
+    assert frame.rows.count() == sum(shares)
+
+
 def test_too_few_delayed_rows(fitted):
     with pytest.raises(ValueError):
         models.delayed_rows(fitted[0], minimum=10_000)
