@@ -144,3 +144,20 @@ def test_tree_search_scores_each_fold_with_models_of_earlier_rows(fitted, tmp_pa
     best.save(spark, str(tmp_path / "best"))
     again = BinnedModel.load(spark, str(tmp_path / "best"))
     assert [r.p for r in again.score(train.rows, "p").collect()] == [r.p for r in best.score(train.rows, "p").collect()]
+
+
+def test_linear_models_score_in_a_session_that_observes(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    spark = spark.newSession()
+    spark._jsparkSession.observationManager()
+    rows = spark.createDataFrame([(float(i), i % 3 > 0, float(i)) for i in range(30)], "x double, late boolean, log_minutes double")
+    rows = rows.withColumn("y", F.col("late").cast("int"))
+    made = [VectorAssembler(inputCols=["x"], outputCol="features")]
+    model = Pipeline(stages=[*made, LogisticRegression(labelCol="y")]).fit(rows)
+    assert all(0 < r.p < 1 for r in models.with_probability(model, rows).collect())
+    linear = Pipeline(stages=[*made, LinearRegression(labelCol="log_minutes")]).fit(rows)
+    assert models.with_minutes(linear, rows).count() == 30
+    assert model.stages[-1].hasSummary and linear.stages[-1].hasSummary
